@@ -2,13 +2,15 @@
 
 from __future__ import annotations
 
-from curata.llm import mixing, packing, urls, warc
+from curata.llm import ann, mixing, packing, toxicity, urls, warc
 from curata.llm.common import table
 
 QUERIES = {
     "op2_pack_documents": lambda spark, sf_dir: packing.pack(table(spark, sf_dir, "documents"), with_ids=False),
     "op4_mix_sources": lambda spark, sf_dir: mixing.mixture_digest(table(spark, sf_dir, "documents")),
     "op7_filter_urls": lambda spark, sf_dir: urls.filter_urls(table(spark, sf_dir, "pages")),
+    "op8_toxicity": lambda spark, sf_dir: toxicity.toxicity_digest(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels")),
+    "op9_nearest_neighbours": lambda spark, sf_dir: ann.search(table(spark, sf_dir, "embeddings")),
     "op10_warc_revisits": lambda spark, sf_dir: warc.revisit_digest(table(spark, sf_dir, "pages")),
 }
 ORACLE_SQL = {"op4_mix_sources": mixing.MIX_SQL, "op10_warc_revisits": warc.WARC_SQL}
