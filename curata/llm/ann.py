@@ -23,11 +23,11 @@ from curata.storage import materialize
 
 #: Vectors that the codebooks are fitted on, at most, in hash order.
 TRAIN_ROWS = 4096
-BOOKS, WORDS, BEAM = 8, 256, 8
+BOOKS, WORDS, BEAM = 16, 256, 8
 #: Rows of an index block, queries of a query block.
 BLOCK_ROWS, QUERY_ROWS = 4096, 512
 #: Rows of a block that are reranked for each query.
-RERANK = 256
+RERANK = 512
 
 
 def _nearest(x: np.ndarray, words: np.ndarray) -> np.ndarray:

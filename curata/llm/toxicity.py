@@ -144,7 +144,7 @@ def _informative(docs: list[tuple[list[str], int]], key) -> list[str]:
     return sorted(out)
 
 
-def fit_field(texts: list[str], labels: list[int], rounds: int = 60, width: int = 32) -> Field:
+def fit_field(texts: list[str], labels: list[int], rounds: int = 30, width: int = 32) -> Field:
     """Fit on documents: weights on windows of ``width`` tokens, then the document score on the marginals."""
     docs = sorted({(t, y) for t, y in zip(texts, labels)})
     lists = [(tokens(t), y) for t, y in docs]
