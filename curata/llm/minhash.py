@@ -23,11 +23,12 @@ from curata.llm.common import as_bytes, chunks
 from curata.operators.graph import connected_components
 from curata.storage import materialize
 
-SAMPLES = 128
-#: Bands of rows: a pair at a similarity of 0.8 shares no band once in 300,000 times, at 0.9 once in 10^11.
-BANDS, ROWS = 24, 4
+SAMPLES = 240
+#: Bands of rows: a pair at a similarity of 0.8 shares no band once in 190,000 times, at 0.85 once in 10^8;
+#: a pair at 0.1 shares one once in 25,000 times.
+BANDS, ROWS = 40, 6
 #: Bits of an odd sketch, in 64-bit words.
-SKETCH_WORDS = 8
+SKETCH_WORDS = 16
 #: A candidate is dropped only if its estimate is this far below the threshold (over four standard deviations).
 SLACK = 0.25
 
@@ -104,6 +105,7 @@ class Sketcher:
         keys = np.zeros((len(sig), self.bands), np.uint64)
         for r in range(self.rows):
             keys = _scramble(keys * _MUL + sig[:, r : self.bands * self.rows : self.rows] + np.uint64(1))
+        keys = _scramble(keys + np.arange(self.bands, dtype=np.uint64))
         at = (_scramble(sig * _MUL + self.salt) % np.uint64(self.bits)).astype(np.int64)
         cells = (np.arange(len(sig))[:, None] * self.bits + at).ravel()
         odd = (np.bincount(cells, minlength=len(sig) * self.bits) & 1).astype(np.uint8).reshape(len(sig), -1)
@@ -173,21 +175,21 @@ def near_duplicates(docs: DataFrame, words_each: int = 5, percent: int = 80, tex
     empty table gives no rows.
 
     Equal sets are one class, named by its smallest doc_id, before anything
-    is paired.  In each bucket of a band every class is paired with the
-    smallest one only, so a bucket of any size costs one pair a member.
-    Then members whose component is not that of the bucket's smallest are
-    paired with all others of another component.  After that every pair that
-    shares a bucket has been tried or is connected, and no bucket's pairs were
-    listed.
+    is paired.  First every class is paired with one other, the smallest that
+    it shares a bucket of a band with; then, in each bucket, members that are
+    not connected to its smallest with that one; then what is still not
+    connected to it with all others of another component.  After that every
+    pair that shares a bucket has been tried or is connected, and no bucket's
+    pairs were listed.
     """
     spark = docs.sparkSession
     sk = materialize(sketches(docs, words_each, text), "sketch")
     known = sk.where("n > 0 and id is not null")
     firsts = [F.first(c).alias(c) for c in ["n", "bands", *SKETCH_COLUMNS]]
     classes = materialize(known.groupBy("c0", "c1").agg(F.min("id").alias("rep"), *firsts), "class")
-    buckets = classes.select("rep", F.posexplode("bands").alias("band", "key"))
-    leaders = buckets.groupBy("band", "key").agg(F.min("rep").alias("leader"), F.count("*").alias("m")).where("m > 1")
-    buckets = materialize(buckets.join(leaders, ["band", "key"]), "bucket")
+    buckets = classes.select("rep", F.explode("bands").alias("key"))
+    leaders = buckets.groupBy("key").agg(F.min("rep").alias("leader"), F.count("*").alias("m")).where("m > 1")
+    buckets = materialize(buckets.join(leaders, "key"), "bucket")
     odd = classes.select("rep", "n", *SKETCH_COLUMNS)
     most = differing_bits(percent / 100 - SLACK)
 
@@ -211,18 +213,24 @@ def near_duplicates(docs: DataFrame, words_each: int = 5, percent: int = 80, tex
         union = F.size("x") + F.size("y") - shared
         return materialize(both.where(shared * 100 >= union * percent).select("a", "b").distinct(), "link")
 
-    links = confirmed(buckets.where("rep != leader").select(F.col("leader").alias("a"), F.col("rep").alias("b")).distinct())
+    def apart(links: DataFrame) -> DataFrame:
+        """The buckets' rows with the components of member and smallest as far as ``links`` go."""
+        comps = connected_components(links, "a", "b")
+        rows = buckets.join(comps.select(F.col("node").alias("rep"), F.col("component").alias("comp")), "rep", "left")
+        rows = rows.join(comps.select(F.col("node").alias("leader"), F.col("component").alias("lead_comp")), "leader", "left")
+        return rows.withColumns({"comp": F.coalesce("comp", "rep"), "lead_comp": F.coalesce("lead_comp", "leader")})
+
+    pairs = buckets.where("rep != leader").groupBy("rep").agg(F.min("leader").alias("a")).select("a", F.col("rep").alias("b"))
+    links = confirmed(pairs)
+    pairs = apart(links).where("comp != lead_comp").select(F.col("leader").alias("a"), F.col("rep").alias("b")).distinct()
+    links = links.unionAll(confirmed(pairs))
     # doc_ids with several rows tie the classes of those rows
     owned = known.join(classes.select("c0", "c1", "rep"), ["c0", "c1"]).select("id", "rep").distinct()
     several = owned.groupBy("id").agg(F.min("rep").alias("a"), F.count("*").alias("k")).where("k > 1")
     same = owned.join(several, "id").where("rep != a").select("a", F.col("rep").alias("b"))
-    first = connected_components(links, "a", "b")
-    named = buckets.join(first, buckets.rep == first.node, "left").select("band", "key", "rep", "leader", "m", F.coalesce("component", "rep").alias("comp"))
-    lead = first.select(F.col("node").alias("leader"), F.col("component").alias("lead_comp"))
-    named = named.where("m > 2").join(lead, "leader", "left").withColumn("lead_comp", F.coalesce("lead_comp", "leader"))
-    named = materialize(named, "named")
-    odd_ones = named.where("comp != lead_comp and rep != leader").select("band", "key", F.col("rep").alias("r"), F.col("comp").alias("r_comp"))
-    more = named.join(odd_ones, ["band", "key"]).where("comp != r_comp and rep != leader")
+    named = materialize(apart(links).where("m > 2 and rep != leader"), "named")
+    rest = named.where("comp != lead_comp").select("key", F.col("rep").alias("r"), F.col("comp").alias("r_comp"))
+    more = named.join(rest, "key").where("comp != r_comp")
     more = more.select(F.least("rep", "r").alias("a"), F.greatest("rep", "r").alias("b")).distinct()
     links = links.unionAll(confirmed(more))
     comps = connected_components(links.unionAll(same), "a", "b")
