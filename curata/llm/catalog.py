@@ -2,12 +2,13 @@
 
 from __future__ import annotations
 
-from curata.llm import ann, minhash, mixing, packing, toxicity, urls, warc
+from curata.llm import ann, minhash, mixing, packing, suffixes, toxicity, urls, warc
 from curata.llm.common import table
 
 QUERIES = {
     "op2_pack_documents": lambda spark, sf_dir: packing.pack(table(spark, sf_dir, "documents"), with_ids=False),
     "op4_mix_sources": lambda spark, sf_dir: mixing.mixture_digest(table(spark, sf_dir, "documents")),
+    "op5_suffix_dedup": lambda spark, sf_dir: suffixes.repeats_digest(table(spark, sf_dir, "documents")),
     "op6_near_duplicates": lambda spark, sf_dir: minhash.near_duplicates(table(spark, sf_dir, "documents"), words_each=2),
     "op7_filter_urls": lambda spark, sf_dir: urls.filter_urls(table(spark, sf_dir, "pages")),
     "op8_toxicity": lambda spark, sf_dir: toxicity.toxicity_digest(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels")),
