@@ -2,10 +2,11 @@
 
 from __future__ import annotations
 
-from curata.llm import ann, minhash, mixing, packing, suffixes, toxicity, urls, warc
+from curata.llm import ann, hnsw, minhash, mixing, packing, suffixes, toxicity, urls, warc
 from curata.llm.common import table
 
 QUERIES = {
+    "op1_embedding_dedup": lambda spark, sf_dir: hnsw.near_duplicate_vectors(table(spark, sf_dir, "embeddings")),
     "op2_pack_documents": lambda spark, sf_dir: packing.pack(table(spark, sf_dir, "documents"), with_ids=False),
     "op4_mix_sources": lambda spark, sf_dir: mixing.mixture_digest(table(spark, sf_dir, "documents")),
     "op5_suffix_dedup": lambda spark, sf_dir: suffixes.repeats_digest(table(spark, sf_dir, "documents")),
