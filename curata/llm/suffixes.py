@@ -260,8 +260,11 @@ def _pieces(table: pa.Table, column: str) -> Iterator[pa.RecordBatch]:
     yield from chunks(iter(table.combine_chunks().to_batches()), column)
 
 
-def remove_repeats(docs: DataFrame, text: str = "text", carry: bool = False) -> DataFrame:
-    """What is left of every document: ``doc_id, n_bytes, n_removed, n_spans, kept`` (binary), or with ``carry`` also ``row``, the other columns.
+def remove_repeats(docs: DataFrame, text: str = "text", carry: bool = False, characters: bool = False) -> DataFrame:
+    """What is left of every document: ``doc_id, n_bytes, n_removed, n_spans, kept`` (binary).
+
+    With ``carry`` also ``row``: the other columns and ``__had``, whether there
+    was a text.  With ``characters`` a character of which a byte stays, stays.
 
     Texts are UTF-8 bytes and used whole; null is empty, and texts under 50
     bytes neither lose nor give anything.  All strings are judged on the input.
@@ -270,7 +273,7 @@ def remove_repeats(docs: DataFrame, text: str = "text", carry: bool = False) ->
     """
     spark = docs.sparkSession
     others = [c for c in docs.columns if c != text]
-    row = F.struct(*[F.col(f"`{c}`") for c in others]) if carry and others else F.struct(F.lit(0).alias("none"))
+    row = F.struct(F.col(f"`{text}`").isNotNull().alias("__had"), *[F.col(f"`{c}`") for c in others if carry])
     base = docs.select(F.col("doc_id").cast("long").alias("id"), as_bytes(text).alias("b"), row.alias("row"))
     total = base.agg(F.sum(F.octet_length("b"))).first()[0] or 0
     parts = max(int(spark.conf.get("spark.sql.shuffle.partitions")), -(-total // GROUP_BYTES))
@@ -422,6 +425,9 @@ def remove_repeats(docs: DataFrame, text: str = "text", carry: bool = False) ->
                 np.add.at(goes, start + LENGTH, -1)
             gone = np.cumsum(goes[:-1]) > 0
             data = np.frombuffer(b"".join(texts), np.uint8)
+            if characters and gone.any():
+                begins = np.flatnonzero((data & 0xC0) != 0x80)
+                gone = np.repeat(np.logical_and.reduceat(gone, begins), np.diff(np.append(begins, len(data))))
             kept, removed, spans = [], [], []
             for t, e, n in zip(texts, ends, sizes):
                 mask = gone[e - n : e]
