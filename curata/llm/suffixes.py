@@ -41,7 +41,9 @@ LENGTH, GRAM = 50, 24
 LEFT = LENGTH - GRAM
 WIDE = LEFT + LENGTH
 #: Bytes of text in a group of documents, and in what a bucket of anchors stands for.
-GROUP_BYTES = 8 << 20
+GROUP_BYTES = 4 << 20
+#: Bytes whose anchors are found at once.
+PIECE_BYTES = 2 << 20
 _BASE = np.uint64(0x9E3779B97F4A7C15)
 _BACK = np.uint64(pow(0x9E3779B97F4A7C15, -1, 1 << 64))
 _powers: dict[int, np.ndarray] = {}
@@ -212,16 +214,19 @@ class SuffixSort:
         new[1:] = head[1:]
         check = np.flatnonzero(~head[1:])
         new[check + 1] = self.common(row[a[check]], offset[a[check]], row[b[check]], offset[b[check]]) < LENGTH
-        # collision verification: what the hashes call equal is compared byte by byte
         equal = np.flatnonzero(~new[1:])
-        for s in range(0, len(equal), 1 << 16):
-            e = equal[s : s + (1 << 16)]
-            k = np.arange(LENGTH)
-            differ = (self.rows[row[a[e]][:, None], offset[a[e]][:, None] + k] != self.rows[row[b[e]][:, None], offset[b[e]][:, None] + k]).any(1)
-            if differ.any():
-                return self._by_bytes(row, offset)
+        if self.differ(row[a[equal]], offset[a[equal]], row[b[equal]], offset[b[equal]]):
+            return self._by_bytes(row, offset)
         return order, new
 
+    def differ(self, r1: np.ndarray, o1: np.ndarray, r2: np.ndarray, o2: np.ndarray) -> bool:
+        """Collision verification: whether strings that hashes call equal differ in a byte."""
+        flat, width = self.rows.ravel(), self.rows.shape[1]
+        a, b = r1.astype(np.int64) * width + o1, r2.astype(np.int64) * width + o2
+        todo = np.flatnonzero(a != b)
+        a, b = a[todo], b[todo]
+        return any((flat[a + k] != flat[b + k]).any() for k in range(LENGTH))
+
     def _by_bytes(self, row: np.ndarray, offset: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
         """The same without hashes, for the case that two strings have one hash."""
         whole = self.rows[row[:, None], offset[:, None] + np.arange(LENGTH)]
@@ -241,10 +246,22 @@ def smallest_owner(rows: np.ndarray, left: np.ndarray, right: np.ndarray, doc: n
     row, offset = np.nonzero(valid)
     if not len(row):
         return out
-    order, new = SuffixSort(rows).classes(row, offset)
-    starts = np.flatnonzero(new)
-    low = np.minimum.reduceat(doc[row[order]], starts)
-    out[row[order], offset[order]] = np.repeat(low, np.diff(np.append(starts, len(order))))
+    row, offset = row.astype(np.int32), offset.astype(np.int32)
+    sort = SuffixSort(rows)
+    # suffixes whose first LENGTH bytes have one hash are sorted as one, once those bytes have been compared
+    whole = sort._hash(row, offset, LENGTH)
+    by_hash = np.argsort(whole, kind="stable")
+    starts = np.flatnonzero(np.append(True, whole[by_hash[1:]] != whole[by_hash[:-1]]))
+    lengths = np.diff(np.append(starts, len(by_hash)))
+    first = by_hash[starts]
+    if sort.differ(row[by_hash], offset[by_hash], np.repeat(row[first], lengths), np.repeat(offset[first], lengths)):
+        starts, by_hash = np.arange(len(row)), np.arange(len(row))
+        lengths, first = np.ones(len(row), np.int64), by_hash
+    least = np.minimum.reduceat(doc[row[by_hash]], starts)
+    order, new = sort.classes(row[first], offset[first])
+    begins = np.flatnonzero(new)
+    least[order] = np.repeat(np.minimum.reduceat(least[order], begins), np.diff(np.append(begins, len(order))))
+    out[row[by_hash], offset[by_hash]] = np.repeat(least, lengths)
     return out
 
 
@@ -257,7 +274,7 @@ def _unpack(b: bytes, kind) -> np.ndarray:
 
 
 def _pieces(table: pa.Table, column: str) -> Iterator[pa.RecordBatch]:
-    yield from chunks(iter(table.combine_chunks().to_batches()), column)
+    yield from chunks(iter(table.combine_chunks().to_batches()), column, PIECE_BYTES)
 
 
 def remove_repeats(docs: DataFrame, text: str = "text", carry: bool = False, characters: bool = False) -> DataFrame:
@@ -282,7 +299,7 @@ def remove_repeats(docs: DataFrame, text: str = "text", carry: bool = False, cha
 
     def deal(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         task, number = TaskContext.get().partitionId(), 0
-        for batch in chunks(batches, "b"):
+        for batch in chunks(batches, "b", PIECE_BYTES):
             a = Anchors(batch.column("b").to_pylist())
             ids = batch.column("id").to_numpy()
             groups = batch.column("g").to_numpy()
