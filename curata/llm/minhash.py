@@ -4,7 +4,9 @@ Every document's set of word shingles gives ``SAMPLES`` MinHash values.  Bands
 of them find candidates; folded into a bitmap whose bits are parities (an odd
 sketch), they tell by the population count of an XOR how many samples differ,
 which for high similarities is precise enough to drop nearly every candidate
-that is no link.  What is left is confirmed on the full sets.
+that is no link.  A second bitmap, the odd sketch of the whole set, bounds the
+symmetric difference from below, so it drops near misses and never a link.
+What is left is confirmed on the full sets.
 """
 
 from __future__ import annotations
@@ -100,6 +102,14 @@ class Sketcher:
             low = np.minimum(low, ((x[None, a : a + 2048] ^ self.xor) * self.mul).min(1))
         return low
 
+    def parities(self, sets: list[np.ndarray]) -> np.ndarray:
+        """Odd sketches [n, words] of whole sets: two of them differ in no more bits than the sets differ in elements."""
+        odd = np.zeros((len(sets), self.bits), np.uint8)
+        for row, s in zip(odd, sets):
+            at = (_scramble(s * _MUL + self.salt[0]) % np.uint64(self.bits)).astype(np.int64)
+            row[:] = np.bincount(at, minlength=self.bits) & 1
+        return np.packbits(odd, axis=1).view(np.int64)
+
     def fold(self, signatures: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
         """Band keys [n, bands] and odd sketches [n, words] of signatures [n, samples]."""
         sig = signatures.astype(np.uint64)
@@ -118,11 +128,13 @@ def differing_bits(similarity: float, samples: int = SAMPLES, bits: int = SKETCH
     return round(bits / 2 * (1 - math.exp(-4 * samples * (1 - similarity) / bits)))
 
 
-SKETCH_COLUMNS = [f"s{k}" for k in range(SKETCH_WORDS)]
+#: Words of the odd sketch of the samples, and of that of the whole set.
+SAMPLE_COLUMNS, SET_COLUMNS = [f"s{k}" for k in range(SKETCH_WORDS)], [f"w{k}" for k in range(SKETCH_WORDS)]
+SKETCH_COLUMNS = SAMPLE_COLUMNS + SET_COLUMNS
 
 
 def sketches(docs: DataFrame, words_each: int, text: str = "text") -> DataFrame:
-    """``id, n, c0, c1, bands, s0..``: set size, two hashes of the whole set, band keys and the odd sketch's words."""
+    """``id, n, c0, c1, bands, s0..``: set size, two hashes of the whole set, band keys and the words of both odd sketches."""
     schema = "id long, n long, c0 long, c1 long, bands array<long>, " + ", ".join(f"{c} long" for c in SKETCH_COLUMNS)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -130,6 +142,7 @@ def sketches(docs: DataFrame, words_each: int, text: str = "text") -> DataFrame:
         for batch in chunks(batches, "b"):
             sets = shingle_sets(batch.column("b").to_pylist(), words_each, cache)
             keys, odd = sketcher.fold(np.stack([sketcher.samples(s) for s in sets]))
+            odd = np.concatenate([odd, sketcher.parities(sets)], 1)
             n = np.array([len(s) for s in sets], np.int64)
             c = np.array([[xxhash.xxh3_64_intdigest(s.tobytes(), k) for k in (0, 1)] for s in sets], np.uint64).view(np.int64)
             flat = pa.ListArray.from_arrays(pa.array(np.arange(len(sets) + 1, dtype=np.int32) * keys.shape[1]), pa.array(keys.ravel()))
@@ -154,15 +167,22 @@ def full_sets(docs: DataFrame, words_each: int, text: str) -> DataFrame:
     return docs.select(F.col("doc_id").cast("long").alias("id"), as_bytes(text).alias("b")).mapInArrow(run, schema)
 
 
-def _differ() -> Column:
-    """Population count of the XOR of the odd sketches ``a_s*`` and ``b_s*``."""
+def _differ(columns: list[str]) -> Column:
+    """Population count of the XOR of ``a_*`` and ``b_*`` of these columns."""
     total = None
-    for c in SKETCH_COLUMNS:
+    for c in columns:
         one = F.bit_count(F.col(f"a_{c}").bitwiseXOR(F.col(f"b_{c}")))
         total = one if total is None else total + one
     return total
 
 
+def _may_link(percent: int) -> Column:
+    """Whether sizes and odd sketches of a and b leave a link possible."""
+    sizes = F.least("a_n", "b_n") * 100 >= F.greatest("a_n", "b_n") * percent
+    whole = _differ(SET_COLUMNS) * (100 + percent) <= (F.col("a_n") + F.col("b_n")) * (100 - percent)
+    return sizes & whole & (_differ(SAMPLE_COLUMNS) <= differing_bits(percent / 100 - SLACK))
+
+
 def near_duplicates(docs: DataFrame, words_each: int = 5, percent: int = 80, text: str = "text") -> DataFrame:
     """``doc_id, n_shingles, component_id, kept`` per row of ``docs``.
 
@@ -192,16 +212,17 @@ def near_duplicates(docs: DataFrame, words_each: int = 5, percent: int = 80, tex
     leaders = buckets.groupBy("key").agg(F.min("rep").alias("leader"), F.count("*").alias("m")).where("m > 1")
     buckets = materialize(buckets.join(leaders, "key"), "bucket")
     odd = classes.select("rep", "n", *SKETCH_COLUMNS)
-    most = differing_bits(percent / 100 - SLACK)
 
     def side(name: str) -> DataFrame:
         return odd.select(F.col("rep").alias(name), F.col("n").alias(f"{name}_n"), *[F.col(c).alias(f"{name}_{c}") for c in SKETCH_COLUMNS])
 
+    def possible(pairs: DataFrame) -> DataFrame:
+        """Of pairs (a, b) those that the sketches leave."""
+        return pairs.join(side("b"), "b").join(side("a"), "a").where(_may_link(percent)).select("a", "b")
+
     def confirmed(pairs: DataFrame) -> DataFrame:
-        """Of pairs (a, b) those that are links."""
-        likely = pairs.join(side("b"), "b").join(side("a"), "a")
-        fits = (F.least("a_n", "b_n") * 100 >= F.greatest("a_n", "b_n") * percent) & (_differ() <= most)
-        likely = materialize(likely.where(fits).select("a", "b"), "pair")
+        """Of pairs (a, b) those that are links, by the full sets."""
+        likely = materialize(pairs, "pair")
         need = likely.select(F.col("a").alias("doc_id")).unionAll(likely.select("b")).distinct()
         if need.isEmpty():
             return spark.createDataFrame([], "a long, b long")
@@ -222,9 +243,9 @@ def near_duplicates(docs: DataFrame, words_each: int = 5, percent: int = 80, tex
         return rows.withColumns({"comp": F.coalesce("comp", "rep"), "lead_comp": F.coalesce("lead_comp", "leader")})
 
     pairs = buckets.where("rep != leader").groupBy("rep").agg(F.min("leader").alias("a")).select("a", F.col("rep").alias("b"))
-    links = confirmed(pairs)
+    links = confirmed(possible(pairs))
     pairs = apart(links).where("comp != lead_comp").select(F.col("leader").alias("a"), F.col("rep").alias("b")).distinct()
-    links = links.unionAll(confirmed(pairs))
+    links = links.unionAll(confirmed(possible(pairs)))
     # doc_ids with several rows tie the classes of those rows
     owned = known.join(classes.select("c0", "c1", "rep"), ["c0", "c1"]).select("id", "rep").distinct()
     several = owned.groupBy("id").agg(F.min("rep").alias("a"), F.count("*").alias("k")).where("k > 1")
@@ -235,9 +256,8 @@ def near_duplicates(docs: DataFrame, words_each: int = 5, percent: int = 80, tex
     rest = rest.join(side("a"), "a").join(bands.select(F.col("rep").alias("a"), F.col("bands").alias("a_bands")), "a")
     some = named.join(rest.select("key").distinct(), "key", "left_semi").select("key", F.col("rep").alias("b"), F.col("comp").alias("b_comp"))
     some = some.join(side("b"), "b").join(bands.select(F.col("rep").alias("b"), F.col("bands").alias("b_bands")), "b")
-    fits = (F.least("a_n", "b_n") * 100 >= F.greatest("a_n", "b_n") * percent) & (_differ() <= most)
     once = F.get(F.array_intersect("a_bands", "b_bands"), F.lit(0)) == some["key"]
-    more = some.join(rest, (some["key"] == rest["key"]) & (F.col("a_comp") != F.col("b_comp")) & fits & once)
+    more = some.join(rest, (some["key"] == rest["key"]) & (F.col("a_comp") != F.col("b_comp")) & _may_link(percent) & once)
     more = more.select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")).distinct()
     links = links.unionAll(confirmed(more))
     comps = connected_components(links.unionAll(same), "a", "b")

@@ -296,3 +296,17 @@ def test_revisits(spark):
     assert {k: r.outcome for k, r in out.items()} == {2: "resolved", 3: "orphan", 4: "mismatch", 5: "unconfirmed", 6: "orphan", 7: "orphan"}
     assert out[2].headers == {"content-type": "text/html", "date": "2"} and out[2].payload_ref == "p1" and out[2].status == 200
     assert warc.resolve_revisits(spark.createDataFrame([], schema)).count() == 0
+
+
+def test_whole_set_sketches_never_exceed_the_difference():
+    rng = np.random.default_rng(3)
+    sketcher = minhash.Sketcher()
+    for n in (0, 1, 30, 150, 4000):
+        x = np.unique(rng.integers(0, 2**63, n).astype(np.uint64))
+        for changed in (0, 1, n // 10, n // 2):
+            y = np.unique(np.concatenate([x[changed:], rng.integers(0, 2**63, changed).astype(np.uint64)]))
+            a, b = sketcher.parities([x, y]).view(np.uint64)
+            bits = int(np.bitwise_count(a ^ b).sum())
+            apart = len(np.setxor1d(x, y))
+            assert bits <= apart and bits % 2 == apart % 2
+            assert apart > 40 or bits >= apart - 12
