@@ -2,17 +2,21 @@
 
 from __future__ import annotations
 
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
 
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 #: ASCII white space; everything between is a word.
 WORD = r"[^\x20\x09-\x0D]+"
 #: Bytes of text that a kernel works on at once.
 CHUNK_BYTES = 4 << 20
+#: Bytes of an Arrow batch between Spark and a kernel, and the setting for it with Spark's default.
+BATCH_BYTES = 3 << 20
+BATCH_SETTING, BATCH_DEFAULT = "spark.sql.execution.arrow.maxBytesPerBatch", "67108864b"
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -50,6 +54,17 @@ def _buffers(column: pa.Array) -> Iterator[memoryview | None]:
         yield x.as_buffer() if x.is_valid else None
 
 
+def map_arrow(df: DataFrame, run: Callable[[Iterator[pa.RecordBatch]], Iterator[pa.RecordBatch]], schema: str | T.StructType) -> DataFrame:
+    """``mapInArrow`` in batches of ``BATCH_BYTES``: both processes hold a batch per task, and 10,000 texts can be 64 MB.
+
+    A size that the session sets itself stays.
+    """
+    conf = df.sparkSession.conf
+    if conf.get(BATCH_SETTING) == BATCH_DEFAULT:
+        conf.set(BATCH_SETTING, str(BATCH_BYTES))
+    return df.mapInArrow(run, schema)
+
+
 def blob(array: np.ndarray) -> bytes:
     return np.ascontiguousarray(array).tobytes()
 

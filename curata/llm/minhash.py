@@ -21,7 +21,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from curata.llm.common import as_bytes, chunks
+from curata.llm.common import as_bytes, chunks, map_arrow
 from curata.operators.graph import connected_components
 from curata.storage import materialize
 
@@ -34,6 +34,8 @@ SKETCH_WORDS = 16
 #: A candidate is dropped only if its estimate is this far below the threshold: over five standard deviations of a
 #: pair at 0.8, which are 0.026 by the samples and 0.013 by the bitmap.
 SLACK = 0.15
+#: Bytes of text that are sketched at once.
+SKETCH_BYTES = 1 << 20
 
 
 class _WordHashes(dict):
@@ -139,7 +141,7 @@ def sketches(docs: DataFrame, words_each: int, text: str = "text") -> DataFrame:
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         cache, sketcher = _WordHashes(), Sketcher()
-        for batch in chunks(batches, "b"):
+        for batch in chunks(batches, "b", SKETCH_BYTES):
             sets = shingle_sets(batch.column("b").to_pylist(), words_each, cache)
             keys, odd = sketcher.fold(np.stack([sketcher.samples(s) for s in sets]))
             odd = np.concatenate([odd, sketcher.parities(sets)], 1)
@@ -149,7 +151,7 @@ def sketches(docs: DataFrame, words_each: int, text: str = "text") -> DataFrame:
             columns = [batch.column("id"), pa.array(n), pa.array(c[:, 0]), pa.array(c[:, 1]), flat, *(pa.array(odd[:, k]) for k in range(odd.shape[1]))]
             yield pa.RecordBatch.from_arrays(columns, ["id", "n", "c0", "c1", "bands", *SKETCH_COLUMNS])
 
-    return docs.select(F.col("doc_id").cast("long").alias("id"), as_bytes(text).alias("b")).mapInArrow(run, schema)
+    return map_arrow(docs.select(F.col("doc_id").cast("long").alias("id"), as_bytes(text).alias("b")), run, schema)
 
 
 def full_sets(docs: DataFrame, words_each: int, text: str) -> DataFrame:
@@ -164,7 +166,7 @@ def full_sets(docs: DataFrame, words_each: int, text: str) -> DataFrame:
             yield pa.RecordBatch.from_arrays([batch.column("id"), pa.ListArray.from_arrays(pa.array(ends), pa.array(flat))], ["id", "shingles"])
 
     schema = T.StructType([T.StructField("id", T.LongType()), T.StructField("shingles", T.ArrayType(T.LongType()))])
-    return docs.select(F.col("doc_id").cast("long").alias("id"), as_bytes(text).alias("b")).mapInArrow(run, schema)
+    return map_arrow(docs.select(F.col("doc_id").cast("long").alias("id"), as_bytes(text).alias("b")), run, schema)
 
 
 def _differ(columns: list[str]) -> Column:

@@ -30,7 +30,7 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from curata.llm.common import as_bytes, chunks
+from curata.llm.common import as_bytes, chunks, map_arrow
 
 
 @dataclass(frozen=True)
@@ -292,4 +292,4 @@ def pack(docs: DataFrame, costs: Costs = Costs(), vocabulary: Vocabulary = Vocab
             yield out(held)
 
     schema = "doc_id long, start long, length long, ids_crc32 long, doc_tokens long, sequence_id long, offset long" + (", ids array<int>" if with_ids else "")
-    return docs.select(F.col("doc_id").cast("long").alias("doc_id"), as_bytes(text).alias("b")).mapInArrow(run, schema)
+    return map_arrow(docs.select(F.col("doc_id").cast("long").alias("doc_id"), as_bytes(text).alias("b")), run, schema)

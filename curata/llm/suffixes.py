@@ -34,7 +34,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from curata.llm.common import as_bytes, chunks
+from curata.llm.common import as_bytes, chunks, map_arrow
 from curata.storage import materialize
 
 LENGTH, GRAM = 50, 24
@@ -455,7 +455,7 @@ def remove_repeats(docs: DataFrame, text: str = "text", carry: bool = False, cha
             done.append(pa.table([pa.array(ids, pa.int64()), pa.array(sizes), pa.array(removed, pa.int64()), pa.array(spans, pa.int64()), pa.array(kept, pa.binary()), batch.column("row")], out_schema.names))
         return pa.concat_tables(done)
 
-    dealt = slim.mapInArrow(deal, "bucket int, grams binary, ids binary, groups binary")
+    dealt = map_arrow(slim, deal, "bucket int, grams binary, ids binary, groups binary")
     wanted = materialize(dealt.groupBy("bucket").applyInArrow(shared, "g int, grams binary"), "anchors")
     seen = slim.groupBy("g").cogroup(wanted.groupBy("g")).applyInArrow(surround, "bucket int, g int, bytes binary, left binary, right binary, hash binary, low binary, high binary")
     owners = materialize(seen.groupBy("bucket").applyInArrow(judge, "g int, hash binary, owner binary"), "owners")

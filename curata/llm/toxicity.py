@@ -22,7 +22,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from curata.llm.common import as_bytes, chunks, id_bucket
+from curata.llm.common import as_bytes, chunks, id_bucket, map_arrow
 
 #: Labelled rows that the field is fitted on, at most; texts over the length are scored but not fitted on.
 TRAIN_TOXIC, TRAIN_CLEAN, TRAIN_TEXT_BYTES = 800, 2400, 100_000
@@ -319,7 +319,7 @@ def score(docs: DataFrame, model: Field, text: str = "text", with_spans: bool =
                 ["row", "score", "predicted", "spans"],
             )
 
-    out = inner.mapInArrow(run, schema)
+    out = map_arrow(inner, run, schema)
     return out.select(*[F.col(f"row.`{c}`").alias(c) for c in kept], "score", "predicted", *(["spans"] if with_spans else []))
 
 
