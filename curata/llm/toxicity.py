@@ -145,7 +145,7 @@ def _informative(docs: list[tuple[list[str], int]], key) -> list[str]:
 
 
 def fit_field(texts: list[str], labels: list[int], rounds: int = 30, width: int = 32) -> Field:
-    """Fit on documents: weights on windows of ``width`` tokens, then the document score on the marginals."""
+    """Fit on documents: weights on all windows of up to ``width`` tokens, then the document score on the marginals."""
     docs = sorted({(t, y) for t, y in zip(texts, labels)})
     lists = [(tokens(t), y) for t, y in docs]
     bare = [([w.strip(EDGE) for w in words], y) for words, y in lists]
@@ -160,21 +160,33 @@ def fit_field(texts: list[str], labels: list[int], rounds: int = 30, width: int
     found.words = {w: k for k, w in enumerate(names)}
     found.starts = {w: len(names) + k for k, w in enumerate(starts)}
     width_f = len(names) + len(starts)
-    feats, tags = [], []
+    found.weights = np.zeros(width_f)
+    blank = (-1,) * (1 + len(STARTS))
+    feats, tags, sizes, many = [], [], [], []
+    plain = Counter()  # windows without any feature by size: equal ones, so one row with their number stands for all
     for words, y in bare:
         hits = [(found.words.get(w, -1), *(found.starts.get(w[:m], -1) if len(w) >= m else -1 for m in STARTS)) for w in words]
         for at in range(0, len(words), width):
             part = hits[at : at + width]
-            marked = any(max(h) >= 0 for h in part)
-            if len(part) == width and (marked or (at // width) % 16 == 0):
-                feats.append(part)
-                tags.append([int(y and max(h) >= 0) for h in part])
-    if not feats:
-        return found
+            if not any(max(h) >= 0 for h in part):
+                plain[len(part)] += 1
+                continue
+            pad = width - len(part)
+            feats.append(part + [blank] * pad)
+            tags.append([int(y and max(h) >= 0) for h in part] + [0] * pad)
+            sizes.append(len(part))
+            many.append(1)
+    for size, number in sorted(plain.items()):
+        feats.append([blank] * width)
+        tags.append([0] * width)
+        sizes.append(size)
+        many.append(number)
     f = np.array(feats)  # windows, tokens, features of a token
     f = np.where(f < 0, width_f, f)
     t = np.array(tags)
-    n = len(f)
+    real = np.arange(width) < np.array(sizes)[:, None]  # not padding
+    times = real * np.array(many, float)[:, None]
+    n = sum(many)
     theta = np.zeros(width_f + 1)
     bias, trans = -4.0, np.zeros((2, 2))
     square = np.full(width_f + 5, 1e-6)
@@ -192,13 +204,14 @@ def fit_field(texts: list[str], labels: list[int], rounds: int = 30, width: int
         for k in range(width - 2, -1, -1):
             beta[:, k] = (own[:, k + 1] * beta[:, k + 1]) @ step.T
             beta[:, k] /= beta[:, k].sum(1, keepdims=True)
+            beta[~real[:, k + 1], k] = 1
         both = alpha * beta
         p = (both / both.sum(2, keepdims=True))[:, :, 1]
         pair = alpha[:, :-1, :, None] * step * (own * beta)[:, 1:, None, :]
-        pair /= pair.sum((2, 3), keepdims=True)
+        pair *= (times[:, 1:] / pair.sum((2, 3)))[:, :, None, None]
         seen = np.zeros((2, 2))
-        np.add.at(seen, (t[:, :-1].ravel(), t[:, 1:].ravel()), 1)
-        miss = t - p
+        np.add.at(seen, (t[:, :-1].ravel(), t[:, 1:].ravel()), times[:, 1:].ravel())
+        miss = (t - p) * times
         g = np.zeros(width_f + 1)
         for c in range(f.shape[2]):
             g += np.bincount(f[:, :, c].ravel(), miss.ravel(), width_f + 1)
@@ -215,10 +228,15 @@ def fit_field(texts: list[str], labels: list[int], rounds: int = 30, width: int
     x = np.column_stack([np.ones(len(rows)), np.log(rows[:, 0] + 1e-3), rows[:, 1]])
     y = np.array([y for _, y in lists], float)
     w = np.array([math.log(prior / (1 - prior)), 0.0, 0.0])
+    ridge = np.array([0.0, 0.1, 0.1])
+    gain = lambda w: y @ (x @ w) - np.logaddexp(0, x @ w).sum() - (ridge * w) @ w / 2
     for _ in range(25):
         q = 1 / (1 + np.exp(-np.clip(x @ w, -30, 30)))
         h = (x * (q * (1 - q))[:, None]).T @ x + np.diag([0.01, 0.1, 0.1])
-        w = w + np.linalg.solve(h, x.T @ (y - q) - np.array([0.0, 0.1, 0.1]) * w)
+        move = np.linalg.solve(h, x.T @ (y - q) - ridge * w)
+        while not gain(w + move) >= gain(w) and np.abs(move).max() > 1e-9:  # a whole step can overshoot and never return
+            move = move / 2
+        w = w + move
     found.document = tuple(float(v) for v in w)
     return found
 

@@ -207,6 +207,18 @@ def test_toxicity_learns_and_marks(spark, docs, none):
     assert {r.predicted for r in toxicity.toxicity_digest(docs, empty).collect()} == {0}
 
 
+@pytest.mark.parametrize("n", [8, 40])
+def test_every_token_trains_the_field(n):
+    rng = np.random.default_rng(3)
+    texts = [" ".join(rng.choice(WORDS, n)) for _ in range(400)]
+    labels = [int(k % 4 == 0) for k in range(400)]
+    texts = [t + " vile" if y else t for t, y in zip(texts, labels)]  # after the last whole window of 32
+    model = toxicity.fit_field(texts, labels)
+    assert len(model.weights) == len(model.words) + len(model.starts) and model.weights[model.words["vile"]] > 0
+    judged = [model.score(*toxicity._document(model, toxicity.tokens(t))[:2]) >= 0.5 for t in texts]
+    assert judged == [y == 1 for y in labels]
+
+
 def test_field_marginals_match_all_paths():
     model = toxicity.Field(words={"bad": 0}, weights=np.array([3.0]), bias=-1.5, transition=np.array([[0.3, -0.2], [-0.4, 0.5]]))
     n, at = 9, [1, 7]
