@@ -4,11 +4,13 @@
 word follows from its last letters, and the classes' softmax has hashed
 features of the word before, of the word before that (a skip) and of the two
 together.  Within a class words have their add-one frequencies, unknown ones
-together the frequency of one unseen word, so the probabilities of all words
-sum to one.
+together the frequency of one unseen word, and these are mixed in turn with the
+word's frequencies after the same skipped word, the same word and the same two
+words, so the probabilities of all words sum to one.
 
-Words are counted over all training documents.  Blocks of documents ask
-buckets of words for their counts; no vocabulary is gathered in one place.
+Words and words in their contexts are counted over all training documents, so
+the model grows with them.  Blocks of documents ask buckets of words and of
+contexts for their counts; no vocabulary is gathered in one place.
 The softmax is trained by distributed gradient updates: each task walks over
 its blocks from common weights, and the moves are averaged by how often each
 feature was touched.
@@ -34,6 +36,10 @@ CLASSES = 32
 SLOTS = 1 << 13
 FEATURES = 3
 BLOCK_BYTES = 8 << 20
+#: Tokens of a context that its shorter one counts as, in the mixture within a class.
+PRIOR = 2.0
+#: Low bits of a counted key that tell the words of a context and class apart; the others are the slot of those two.
+WORD_BITS = np.uint64(24)
 #: Tokens of a gradient step, and the step size.
 STEP, RATE = 8192, 0.3
 #: Passes over the training documents.
@@ -75,14 +81,36 @@ def _scramble(x: np.ndarray) -> np.ndarray:
     return x ^ (x >> np.uint64(32))
 
 
-def contexts(codes: np.ndarray, sizes: np.ndarray) -> np.ndarray:
-    """Feature numbers [tokens, 3] of documents of ``sizes`` tokens laid end to end."""
+def _before(codes: np.ndarray, sizes: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """The codes one and two tokens before each, 1 before a document."""
     n = len(codes)
     place = np.arange(n) - np.repeat(np.cumsum(sizes) - sizes, sizes)
     one, two = np.zeros(n, np.uint64), np.zeros(n, np.uint64)
     one[1:], two[2:] = codes[:-1], codes[:-2]
     one[place < 1] = 1
     two[place < 2] = 1
+    return one, two
+
+
+def grams(codes: np.ndarray, sizes: np.ndarray, k: int) -> np.ndarray:
+    """Keys of the tokens in their contexts (the word two before, the word before, both): slot of context and class, then word."""
+    one, two = _before(codes, sizes)
+    context = (two, one, one * _MUL + _scramble(two))[k]
+    slot = _scramble(_scramble(context * _MUL + np.uint64(k)) * _MUL + (codes & _LOW))
+    return (slot >> WORD_BITS << WORD_BITS) | (codes >> np.uint64(5)) & ((np.uint64(1) << WORD_BITS) - np.uint64(1))
+
+
+def _cuts(keys: np.ndarray, parts: int) -> tuple[np.ndarray, np.ndarray]:
+    """Buckets of sorted keys, which are ranges that split no slot, and the places where they begin, and the end."""
+    bucket = ((keys >> np.uint64(40)) * np.uint64(parts) >> np.uint64(24)).astype(np.int64)
+    begin = np.flatnonzero(np.append(True, bucket[1:] != bucket[:-1]))
+    return bucket[begin], np.append(begin, len(keys))
+
+
+def contexts(codes: np.ndarray, sizes: np.ndarray) -> np.ndarray:
+    """Feature numbers [tokens, 3] of documents of ``sizes`` tokens laid end to end."""
+    n = len(codes)
+    one, two = _before(codes, sizes)
     out = np.empty((n, FEATURES), np.int64)
     out[:, 0] = (_scramble(one * _MUL) % np.uint64(SLOTS)).astype(np.int64)
     out[:, 1] = (_scramble(two * _MUL + np.uint64(1)) % np.uint64(SLOTS)).astype(np.int64) + SLOTS
@@ -189,6 +217,49 @@ def _counted(blocks: DataFrame, parts: int) -> tuple[DataFrame, DataFrame]:
     return replies.where("block is not null").select("bucket", "block", "counts"), totals
 
 
+def _counted_grams(blocks: DataFrame, parts: int) -> DataFrame:
+    """Training counts of every block's ``grams`` and of their slots; buckets are numbered after those of the words."""
+
+    def ask(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            for block, *row in zip(*(batch.column(c).to_pylist() for c in ("block", "sizes", "held", "codes", "tokens"))):
+                sizes, out, codes, tokens = (_unpack(x, t) for x, t in zip(row, (np.int64, bool, np.uint64, np.int32)))
+                stream, train = codes[tokens], np.repeat(~out, sizes)
+                for k in range(FEATURES):
+                    keys = grams(stream, sizes, k)
+                    distinct = np.unique(keys)
+                    own, n = np.unique(keys[train], return_counts=True)
+                    counts = np.zeros(len(distinct), np.int64)
+                    counts[np.searchsorted(distinct, own)] = n
+                    bucket, edges = _cuts(distinct, parts)
+                    ends = list(zip(edges[:-1], edges[1:]))
+                    for some in range(0, len(ends), 256):
+                        cut = ends[some : some + 256]
+                        columns = [
+                            pa.array((bucket[some : some + 256] + parts * (1 + k)).astype(np.int32)),
+                            pa.array([block] * len(cut), pa.int64()),
+                            pa.array([_pack(np.diff(distinct[b:e], prepend=np.uint64(0))) for b, e in cut], pa.binary()),
+                            pa.array([_pack(counts[b:e]) for b, e in cut], pa.binary()),
+                        ]
+                        yield pa.RecordBatch.from_arrays(columns, ["bucket", "block", "codes", "counts"])
+
+    def answer(table: pa.Table) -> pa.Table:
+        keys = [np.cumsum(_unpack(x.as_py(), np.uint64), dtype=np.uint64) for x in table.column("codes")]
+        distinct = np.unique(np.concatenate(keys))
+        total = np.zeros(len(distinct), np.int64)
+        for own, counts in zip(keys, table.column("counts")):
+            total[np.searchsorted(distinct, own)] += _unpack(counts.as_py(), np.int64)
+        slot = distinct >> WORD_BITS
+        new = np.append(True, slot[1:] != slot[:-1])
+        slots = np.add.reduceat(total, np.flatnonzero(new))[np.cumsum(new) - 1]
+        at = [np.searchsorted(distinct, own) for own in keys]
+        values = [pa.array([_pack(x[a]) for a in at], pa.binary()) for x in (total, slots)]
+        return pa.table([table.column("bucket"), table.column("block"), *values], ["bucket", "block", "counts", "slots"])
+
+    asked = blocks.select("block", "sizes", "held", "codes", "tokens").mapInArrow(ask, "bucket int, block long, codes binary, counts binary")
+    return materialize(asked.groupBy("bucket").applyInArrow(answer, "bucket int, block long, counts binary, slots binary"), "grams", compression="none")
+
+
 def _trained(blocks: DataFrame, rounds: int) -> np.ndarray:
     """The weights after ``rounds`` passes over all training documents."""
     spark = blocks.sparkSession
@@ -242,13 +313,15 @@ def score_documents(docs: DataFrame, text: str = "text", folds: int = 7, held: i
     crc32(doc_id) mod ``folds`` is ``held`` are scored but neither counted nor
     trained on; a null id counts as the empty text there.  ``base_score`` is the
     add-one unigram log10 probability, ``score`` the model's.  Words are told
-    apart by 59-bit hashes.  Repeated rows are documents of their own, other
+    apart by 59-bit hashes; contexts share 2^40 slots with the classes, and in a
+    slot words are told apart by 24 bits.  Repeated rows are documents of their own, other
     columns are ignored, an empty table gives no rows.
     """
     spark = docs.sparkSession
     blocks = materialize(_blocks(docs, text, folds, held), "tokens", compression="none")
     parts = max(int(spark.conf.get("spark.sql.shuffle.partitions")), blocks.count())
     replies, totals = _counted(blocks, parts)
+    replies = replies.withColumn("slots", F.lit(None).cast("binary")).unionByName(_counted_grams(blocks, parts))
     flat = np.zeros(2 * CLASSES, np.int64)
     for pos, n in totals.collect():  # two numbers per class
         flat[pos] = n
@@ -259,7 +332,7 @@ def score_documents(docs: DataFrame, text: str = "text", folds: int = 7, held: i
 
     def judge(left: pa.Table, right: pa.Table) -> pa.Table:
         model = sent.value
-        by_bucket = {b: _unpack(c, np.int64) for b, c in zip(right.column("bucket").to_pylist(), right.column("counts").to_pylist())}
+        by_bucket = {b: pair for b, *pair in zip(*(right.column(c).to_pylist() for c in ("bucket", "counts", "slots")))}
         done = []
         for k in range(left.num_rows):
             r = {c: left.column(c)[k].as_py() for c in ("sizes", "held", "codes", "tokens", "ids")}
@@ -269,12 +342,17 @@ def score_documents(docs: DataFrame, text: str = "text", folds: int = 7, held: i
             count = np.zeros(len(codes), np.int64)
             edges = np.append(np.flatnonzero(np.append(True, bucket[order][1:] != bucket[order][:-1])), len(order))
             for s, e in zip(edges[:-1], edges[1:]):
-                count[order[s:e]] = by_bucket[int(bucket[order[s]])]
+                count[order[s:e]] = _unpack(by_bucket[int(bucket[order[s]])][0], np.int64)
             kind = (codes & _LOW).astype(np.int64)
             base = np.log10((count + 1) / (n_all + v_all + 1))
-            inside = np.log10((count + 1) / (words[kind] + distinct[kind] + 1))
+            inside = ((count + 1) / (words[kind] + distinct[kind] + 1))[tokens]
             stream = codes[tokens]
             features = contexts(stream, sizes)
+            for k in range(FEATURES):
+                keys, where = np.unique(grams(stream, sizes, k), return_inverse=True)
+                answers = [by_bucket[int(b) + parts * (1 + k)] for b in _cuts(keys, parts)[0]]
+                n, whole = (np.concatenate([_unpack(x[c], np.int64) for x in answers])[where] for c in (0, 1))
+                inside = (n + PRIOR * inside) / (whole + PRIOR)
             token_class = kind[tokens]
             own = np.empty(len(tokens))
             for s in range(0, len(tokens), STEP):
@@ -291,7 +369,7 @@ def score_documents(docs: DataFrame, text: str = "text", folds: int = 7, held: i
                         "n_known": pa.array(total((count[tokens] > 0).astype(np.int64))),
                         "train_tokens": pa.array(np.full(len(sizes), n_all, np.int64)),
                         "base_score": pa.array(total(base[tokens])),
-                        "score": pa.array(total(own / np.log(10) + inside[tokens])),
+                        "score": pa.array(total(own / np.log(10) + np.log10(inside))),
                     }
                 )
             )

@@ -176,6 +176,37 @@ def test_scores_of_words(docs, none):
     assert maxent.score_documents(none).count() == 0
 
 
+def test_words_of_a_class_follow_their_contexts(docs):
+    rows = {r.doc_id: r for r in maxent.score_documents(docs, rounds=0).collect()}
+    code = {}
+    tokens = {k: [*(t or "").encode().lower().split(), b" "] for k, t, *_ in documents()}
+    history = lambda ws, i, k: ((k, i > 1 and ws[i - 2]), (k, i > 0 and ws[i - 1]), (k, i > 1 and ws[i - 2], i > 0 and ws[i - 1]))[k]
+    kind = lambda w: code.setdefault(w, (maxent.END if w == b" " else maxent.word_code(w)) & (maxent.CLASSES - 1))
+    words, pairs, slots = Counter(), Counter(), Counter()
+    for key, t, *_ in documents():
+        if zlib.crc32(str(key).encode()) % 7 != 2:
+            ws = [*(t or "").encode().lower().split(), b" "]
+            for i, w in enumerate(ws):
+                words[w] += 1
+                for k in range(3):
+                    pairs[history(ws, i, k), w] += 1
+                    slots[history(ws, i, k), kind(w)] += 1
+    size, kinds = Counter(), Counter()
+    for w, n in words.items():
+        size[kind(w)] += n
+        kinds[kind(w)] += 1
+    for key, ws in tokens.items():
+        total = 0.0
+        for i, w in enumerate(ws):
+            c = kind(w)
+            p = (words[w] + 1) / (size[c] + kinds[c] + 1)
+            for k in range(3):
+                h = history(ws, i, k)
+                p = (pairs[h, w] + maxent.PRIOR * p) / (slots[h, c] + maxent.PRIOR)
+            total += np.log10(p / maxent.CLASSES)
+        assert rows[key].score == pytest.approx(total, rel=1e-5)
+
+
 def test_class_probabilities_sum_to_one():
     rng = np.random.default_rng(0)
     weights = rng.normal(size=(maxent.FEATURES * maxent.SLOTS + 1, maxent.CLASSES)).astype(np.float32)
