@@ -180,15 +180,21 @@ def linked(graph: Graph, exact: np.ndarray, q: np.ndarray, q_exact: np.ndarray,
     """All (query number, row) with cosine >= ``threshold``, verified in double precision.
 
     Starts with ``FIRST_BEAM``.  A query whose beam is full of links is asked
-    again with twice the beam; and if the audit misses a link, all are.  At
-    the width of the shard the walk is replaced by the scan it has become.
+    again with twice the beam; and if the audit misses a link, or the nearest
+    row of a sampled query without links, all are.  At the width of the shard
+    the walk is replaced by the scan it has become.
     """
     n, m = len(q), len(exact)
     if not n or not m:
         return np.zeros(0, np.int64), np.zeros(0, np.int64)
     sample = np.unique(np.linspace(0, n - 1, min(AUDIT, n)).astype(int))
-    truth = q_exact[sample] @ exact.T >= threshold
+    cosine = q_exact[sample] @ exact.T
+    truth = cosine >= threshold
+    alone = ~(truth & (cosine < 1 - 1e-12)).any(1)  # a vector of this shard links itself
+    nearest = np.where(truth, -np.inf, cosine)[alone].argmax(1)
     beam, pending = FIRST_BEAM, np.arange(n)
+    width = beam  # of all queries; those full of links go further
+    reaches = lambda beam: (graph.search(q[sample[alone]], beam)[0] == nearest[:, None]).any(1).sum() >= AUDIT_RECALL * len(nearest)
     got_q, got_r = [], []
     audited = False
     floor = threshold - MARGIN
@@ -210,13 +216,16 @@ def linked(graph: Graph, exact: np.ndarray, q: np.ndarray, q_exact: np.ndarray,
             got_r.append(ids[r, c])
         pending = np.concatenate(later) if later else np.zeros(0, np.int64)
         beam *= 2
-        if not len(pending) and not audited and beam // 2 < m:
+        if not len(pending) and not audited and width < m:
             a, b = np.concatenate(got_q), np.concatenate(got_r)
             have = set(zip(a.tolist(), b.tolist()))
             want = [(int(sample[i]), int(j)) for i, j in zip(*np.nonzero(truth))]
             hits = sum(w in have for w in want)
-            if want and hits < AUDIT_RECALL * len(want):
+            if hits < AUDIT_RECALL * len(want) or not reaches(width):
                 pending, got_q, got_r = np.arange(n), [], []
+                while beam < m and not reaches(beam):  # of the sample alone, before all are asked again
+                    beam *= 2
+                width = beam
             else:
                 audited = True
     a, b = np.concatenate(got_q), np.concatenate(got_r)

@@ -293,6 +293,16 @@ def test_linked_vectors_match_brute_force(spark):
     assert hnsw.near_duplicate_vectors(frame.limit(0)).count() == 0
 
 
+def test_audit_without_links_looks_at_nearest_rows():
+    rng = np.random.default_rng(8)
+    x, q = (v / np.linalg.norm(v, axis=1, keepdims=True) for v in rng.normal(size=(2, 300, 64)))
+    q[3] = x[200]  # not sampled, and no walk from row 0 gets beyond row 149
+    near = np.full((300, 24), -1, np.int32)
+    near[:150] = (np.arange(150)[:, None] + np.arange(1, 25)) % 150
+    a, b = hnsw.linked(hnsw.Graph(x.astype(np.float32), [near]), x, q.astype(np.float32), q, 0.98)
+    assert (a.tolist(), b.tolist()) == ([3], [200])
+
+
 def test_nearest_match_brute_force(spark):
     frame = spark.createDataFrame(vectors(), "vec_id long, embedding array<double>, label int")
     rows = ann.search(frame, k=5).collect()
