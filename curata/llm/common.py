@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import ctypes
+import functools
 from collections.abc import Callable, Iterator
 
 import numpy as np
@@ -13,12 +15,34 @@ from pyspark.sql import types as T
 #: ASCII white space; everything between is a word.
 WORD = r"[^\x20\x09-\x0D]+"
 #: Bytes of text that a kernel works on at once.
-CHUNK_BYTES = 4 << 20
+CHUNK_BYTES = 2 << 20
 #: Bytes of an Arrow batch between Spark and a kernel, and the setting for it with Spark's default.
 BATCH_BYTES = 3 << 20
 BATCH_SETTING, BATCH_DEFAULT = "spark.sql.execution.arrow.maxBytesPerBatch", "67108864b"
 
 
+def release() -> None:
+    """Give freed memory back to the system: workers are reused, and what one kernel kept another would add to."""
+    pa.default_memory_pool().release_unused()
+    try:
+        ctypes.CDLL(None).malloc_trim(0)
+    except (AttributeError, OSError):  # another libc
+        pass
+
+
+def tidy(run: Callable) -> Callable:
+    """A kernel for ``mapInArrow`` or ``mapInPandas`` that releases its memory when its task ends."""
+
+    @functools.wraps(run)
+    def whole(batches: Iterator) -> Iterator:
+        try:
+            yield from run(batches)
+        finally:
+            release()
+
+    return whole
+
+
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
@@ -62,7 +86,39 @@ def map_arrow(df: DataFrame, run: Callable[[Iterator[pa.RecordBatch]], Iterator[
     conf = df.sparkSession.conf
     if conf.get(BATCH_SETTING) == BATCH_DEFAULT:
         conf.set(BATCH_SETTING, str(BATCH_BYTES))
-    return df.mapInArrow(run, schema)
+    return df.mapInArrow(tidy(run), schema)
+
+
+def tidy_group(run: Callable) -> Callable:
+    """A kernel for groups that releases its memory after each."""
+
+    if run.__code__.co_argcount == 1:
+        return lambda table: _released(run, table)
+    return lambda left, right: _released(run, left, right)
+
+
+def _released(run: Callable, *args):
+    try:
+        return run(*args)
+    finally:
+        release()
+
+
+class Bounded(dict):
+    """A memory of ``make(key)`` that starts again when it holds about ``most`` bytes; ``cost`` is an entry's beside its key."""
+
+    def __init__(self, make: Callable, most: int = 24 << 20, cost: int = 150):
+        super().__init__()
+        self.make, self.most, self.cost, self.size = make, most, cost, 0
+
+    def __missing__(self, key):
+        value = self.make(key)
+        self.size += len(key) + self.cost
+        if self.size > self.most:
+            self.clear()
+            self.size = 0
+        self[key] = value
+        return value
 
 
 def blob(array: np.ndarray) -> bytes:

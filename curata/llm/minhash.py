@@ -21,7 +21,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from curata.llm.common import as_bytes, chunks, map_arrow
+from curata.llm.common import Bounded, as_bytes, chunks, map_arrow
 from curata.operators.graph import connected_components
 from curata.storage import materialize
 
@@ -38,18 +38,6 @@ SLACK = 0.15
 SKETCH_BYTES = 1 << 20
 
 
-class _WordHashes(dict):
-    """64-bit hashes of words, kept up to a bound."""
-
-    MOST = 300_000
-
-    def __missing__(self, word: bytes) -> int:
-        h = xxhash.xxh3_64_intdigest(word)
-        if len(self) < self.MOST:
-            self[word] = h
-        return h
-
-
 _MUL = np.uint64(0x9E3779B97F4A7C15)
 
 
@@ -140,7 +128,7 @@ def sketches(docs: DataFrame, words_each: int, text: str = "text") -> DataFrame:
     schema = "id long, n long, c0 long, c1 long, bands array<long>, " + ", ".join(f"{c} long" for c in SKETCH_COLUMNS)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        cache, sketcher = _WordHashes(), Sketcher()
+        cache, sketcher = Bounded(xxhash.xxh3_64_intdigest), Sketcher()
         for batch in chunks(batches, "b", SKETCH_BYTES):
             sets = shingle_sets(batch.column("b").to_pylist(), words_each, cache)
             keys, odd = sketcher.fold(np.stack([sketcher.samples(s) for s in sets]))
@@ -158,8 +146,8 @@ def full_sets(docs: DataFrame, words_each: int, text: str) -> DataFrame:
     """``id, shingles`` with the whole sets."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        cache = _WordHashes()
-        for batch in chunks(batches, "b"):
+        cache = Bounded(xxhash.xxh3_64_intdigest)
+        for batch in chunks(batches, "b", SKETCH_BYTES):
             sets = shingle_sets(batch.column("b").to_pylist(), words_each, cache)
             ends = np.concatenate(([0], np.cumsum([len(s) for s in sets]))).astype(np.int32)
             flat = np.concatenate(sets).view(np.int64)

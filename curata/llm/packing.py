@@ -73,7 +73,8 @@ class TextEncoder:
     string, go to ``tokenizers`` whole.
     """
 
-    MOST = 600_000
+    #: Bytes that the memory of parts holds at most.
+    MOST = 32 << 20
 
     def __init__(self, tokenizer_file: str, ranks_file: str):
         import public_tokenizers
@@ -92,6 +93,7 @@ class TextEncoder:
             """Ids of a part with the space before it; says if one was white space, whose neighbours count too."""
 
             blank = False
+            size = 0
 
             def __missing__(self, part):
                 if part.isalpha():
@@ -105,8 +107,11 @@ class TextEncoder:
                     ids = array("I", ordinary(" " + part)).tobytes()
                     if "\n" in part:
                         return ids
-                if len(self) < TextEncoder.MOST:
-                    self[part] = ids
+                self.size += 200 + len(part) + len(ids)
+                if self.size > TextEncoder.MOST:
+                    self.clear()
+                    self.size = 0
+                self[part] = ids
                 return ids
 
         closing = {c: array("I", ordinary(c)).tobytes() for c in ".,"}
@@ -167,7 +172,9 @@ def best_cuts(at: list[int], penalty: list[int], costs: Costs, start: int = 0) -
 class Packer:
     """Cuts one stream of documents; holds a bounded part of it."""
 
-    BLOCK = 1 << 21
+    BLOCK = 1 << 19
+    #: Ids of pieces that are sent on at once.
+    SEND = 1 << 18
 
     def __init__(self, ends_sentence: np.ndarray, costs: Costs, end_id: int, first_sequence: int):
         self.ends, self.costs, self.end_id, self.sequence = ends_sentence, costs, end_id, first_sequence
@@ -272,7 +279,8 @@ def pack(docs: DataFrame, costs: Costs = Costs(), vocabulary: Vocabulary = Vocab
             ]
             names = ["doc_id", "start", "length", "ids_crc32", "doc_tokens", "sequence_id", "offset"]
             if with_ids:
-                columns.append(pa.array([x.astype(np.int32) for x in ids], pa.list_(pa.int32())))
+                ends = np.concatenate(([0], np.cumsum([len(x) for x in ids]))).astype(np.int32)
+                columns.append(pa.ListArray.from_arrays(pa.array(ends), pa.array(np.concatenate(ids).view(np.int32))))
                 names.append("ids")
             return pa.RecordBatch.from_arrays(columns, names)
 
@@ -283,11 +291,13 @@ def pack(docs: DataFrame, costs: Costs = Costs(), vocabulary: Vocabulary = Vocab
             yield from packer.close()
 
         held: list[tuple] = []
+        size = 0
         for piece in pieces():
             held.append(piece)
-            if len(held) >= 4096:
+            size += len(piece[2]) + 16
+            if size >= Packer.SEND:
                 yield out(held)
-                held = []
+                held, size = [], 0
         if held:
             yield out(held)
 
