@@ -11,15 +11,16 @@ each byte many times over, so the sort gets only what can matter:
 2. Every group of documents gathers the distinct surroundings of its candidate
    anchors: all strings of ``LENGTH`` bytes around it, with the smallest and
    largest doc_id of the group.
-3. The suffixes of those surroundings are sorted.  Prefix polynomial hashes and
-   binary search give the common extension of two suffixes, so a comparison in
-   the mergesort takes a logarithmic number of steps; runs of suffixes that
-   agree on ``LENGTH`` bytes are verified byte by byte and give every string
-   its smallest doc_id.
+3. An anchor with one surrounding needs no sort.  Of the others the suffixes
+   are sorted.  Prefix polynomial hashes and binary search give the common
+   extension of two suffixes, so a comparison takes a logarithmic number of
+   steps.  Where a merge meets two suffixes that agree on ``LENGTH`` bytes,
+   verified byte by byte, it folds one into the other with the smaller doc_id;
+   what is folded together at the end is one string and has one smallest doc_id.
 4. The groups remove what a smaller doc_id has.
 
 Buckets and groups are numbered in proportion to the bytes of the input, so
-each stays at a few megabytes.
+each stays at a few megabytes; long texts are looked at in overlapping windows.
 """
 
 from __future__ import annotations
@@ -29,12 +30,11 @@ from collections.abc import Iterator
 import numpy as np
 import pyarrow as pa
 import zstandard
-from pyspark import TaskContext
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from curata.llm.common import as_bytes, chunks, map_arrow
+from curata.llm.common import as_bytes, chunks, map_arrow, tidy_group
 from curata.storage import materialize
 
 LENGTH, GRAM = 50, 24
@@ -42,8 +42,12 @@ LEFT = LENGTH - GRAM
 WIDE = LEFT + LENGTH
 #: Bytes of text in a group of documents, and in what a bucket of anchors stands for.
 GROUP_BYTES = 4 << 20
-#: Bytes whose anchors are found at once.
-PIECE_BYTES = 2 << 20
+#: Bytes whose anchors are found at once; a longer text has windows that overlap by ``WIDE`` on both sides.
+PIECE_BYTES = 1 << 19
+#: Anchors that a task deals into buckets at once.
+DEAL = 600_000
+#: Surroundings whose suffixes are sorted at once.
+SORT_ROWS = 12_000
 _BASE = np.uint64(0x9E3779B97F4A7C15)
 _BACK = np.uint64(pow(0x9E3779B97F4A7C15, -1, 1 << 64))
 _powers: dict[int, np.ndarray] = {}
@@ -84,53 +88,78 @@ def _slide(x: np.ndarray, width: int, pick) -> np.ndarray:
 
 
 class Anchors:
-    """Anchors of a few documents laid end to end: place, 48-bit gram hash, and what lies around them."""
+    """Anchors of stretches of documents laid end to end: document, place in it, gram hash, and what lies around them.
 
-    def __init__(self, texts: list[bytes]):
-        self.sizes = np.array([len(t) for t in texts], np.int64)
-        self.ends = np.cumsum(self.sizes)
-        self.data = np.frombuffer(b"".join(texts), np.uint8)
+    ``spans`` has (number of the text, first byte laid out, end, first byte whose anchors count, end of those).
+    """
+
+    def __init__(self, texts: list[bytes], spans: list[tuple[int, int, int, int, int]]):
+        of, low, high, begin, stop = (np.array(x, np.int64) for x in zip(*spans))
+        sizes = high - low
+        ends = np.cumsum(sizes)
+        shift = ends - sizes - low  # from a place in a document to one in the data
+        self.data = np.frombuffer(b"".join(texts[k][a:b] for k, a, b, *_ in spans), np.uint8)
         n = len(self.data)
         none = np.zeros(0, np.int64)
-        self.at, self.doc, self.gram = none, none, np.zeros(0, np.uint64)
-        self.prefix = prefix_hashes(self.data)
-        if n < LENGTH or not (self.sizes >= LENGTH).any():
+        self.at, self.doc, self.place, self.left, self.right, self.gram = none, none, none, none, none, np.zeros(0, np.uint64)
+        if n < LENGTH or not (sizes >= LENGTH).any():
+            self.prefix = np.zeros(n + 1, np.uint64)
             return
-        back = _power(_BACK, n + 1)
-        h = (self.prefix[GRAM:] - self.prefix[:-GRAM]) * back[: n - GRAM + 1]
-        h = (_mix(h) >> np.uint64(16)) + np.uint64(1)
-        low = _slide(h, LEFT + 1, np.minimum)  # of the string that starts at each place
-        owner = np.repeat(np.arange(len(texts)), self.sizes)
-        inside = np.arange(n - LENGTH + 1) + LENGTH <= self.ends[owner[: n - LENGTH + 1]]
-        low = np.where(inside, low, np.uint64(0))
-        edge = np.zeros(LEFT, np.uint64)
-        high = _slide(np.concatenate((edge, low, edge)), LEFT + 1, np.maximum)
-        self.at = np.flatnonzero(high == h)
-        self.doc = owner[self.at]
-        self.gram = h[self.at]
+        self.prefix = prefix_hashes(self.data)
+        h = self.prefix[GRAM:] - self.prefix[:-GRAM]
+        h *= _power(_BACK, n + 1)[: n - GRAM + 1]
+        h = _mix(h)
+        rank = (h >> np.uint64(32)).astype(np.uint32) | np.uint32(1)  # 0 is kept for strings that no document holds
+        best = _slide(rank, LEFT + 1, np.minimum)  # of the string that starts at each place
+        for e in ends[:-1]:
+            best[max(0, e - LENGTH + 1) : e] = 0
+        edge = np.zeros(LEFT, np.uint32)
+        self.at = np.flatnonzero(_slide(np.concatenate((edge, best, edge)), LEFT + 1, np.maximum) == rank)
+        span = np.searchsorted(ends, self.at, "right")
+        place = self.at - shift[span]
+        own = (place >= begin[span]) & (place < stop[span])
+        self.at, span, self.place = self.at[own], span[own], place[own]
+        self.doc = of[span]
+        self.gram = (h[self.at] >> np.uint64(16)) + np.uint64(1)
+        self.left = np.minimum(LEFT, self.place - low[span])
+        self.right = np.minimum(LENGTH, high[span] - self.place)
 
     def keep(self, chosen: np.ndarray) -> None:
-        self.at, self.doc, self.gram = self.at[chosen], self.doc[chosen], self.gram[chosen]
-
-    def around(self) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-        """Bytes before (up to LEFT) and from (up to LENGTH) each anchor in its document, and the hash of that stretch."""
-        begin = self.ends[self.doc] - self.sizes[self.doc]
-        left = np.minimum(LEFT, self.at - begin)
-        right = np.minimum(LENGTH, self.ends[self.doc] - self.at)
-        start, stop = self.at - left, self.at + right
+        for name in ("at", "doc", "place", "left", "right", "gram"):
+            setattr(self, name, getattr(self, name)[chosen])
+
+    def around(self) -> np.ndarray:
+        """Hashes of the bytes from ``left`` (up to LEFT) before to ``right`` (up to LENGTH) after each anchor in its document."""
+        start, stop = self.at - self.left, self.at + self.right
         h = (self.prefix[stop] - self.prefix[start]) * _power(_BACK, len(self.data) + 1)[start]
-        return left, right, _mix(h + _mix((left * 64 + right).astype(np.uint64)))
+        return _mix(h + _mix((self.left * 64 + self.right).astype(np.uint64)))
 
-    def stretches(self, left: np.ndarray, right: np.ndarray) -> np.ndarray:
+    def stretches(self) -> np.ndarray:
         """The bytes around the anchors, [n, WIDE], zero where the document has none."""
         index = self.at[:, None] + np.arange(-LEFT, LENGTH)
         k = np.arange(WIDE)
-        there = (k >= LEFT - left[:, None]) & (k < LEFT + right[:, None])
+        there = (k >= LEFT - self.left[:, None]) & (k < LEFT + self.right[:, None])
         return np.where(there, self.data[np.clip(index, 0, len(self.data) - 1)], 0).astype(np.uint8)
 
 
+def anchors_of(texts: list[bytes]) -> Iterator[Anchors]:
+    """The anchors of whole texts; of one that is long, window by window."""
+    held, size = [], 0
+    for k, t in enumerate(texts):
+        n = len(t)
+        for begin in range(0, n, PIECE_BYTES):
+            stop = min(n, begin + PIECE_BYTES)
+            held.append((k, max(0, begin - WIDE), min(n, stop + WIDE), begin, stop))
+            size += stop - begin
+            if size >= PIECE_BYTES:
+                yield Anchors(texts, held)
+                held, size = [], 0
+    if held:
+        yield Anchors(texts, held)
+
+
 class SuffixSort:
-    """Orders suffixes, given as (row, offset), of rows of bytes by their first ``LENGTH`` bytes."""
+    """Sorts suffixes, given as (row, offset), of rows of bytes by their first ``LENGTH`` bytes and folds equal ones."""
 
     def __init__(self, rows: np.ndarray):
         self.rows = rows
@@ -138,13 +167,18 @@ class SuffixSort:
         self.prefix = np.zeros((n, width + 1), np.uint64)
         np.cumsum((rows.astype(np.uint64) + np.uint64(1)) * _power(_BASE, width), axis=1, out=self.prefix[:, 1:])
         self.back = _power(_BACK, width + 1)
+        flat = np.ascontiguousarray(rows).ravel()
+        # the eight bytes from every place on, as one big-endian number
+        self.words = np.zeros(len(flat), np.uint64)
+        for j in range(8):
+            self.words[: len(flat) - j] |= flat[j:].astype(np.uint64) << np.uint64(56 - 8 * j)
 
-    def _hash(self, row: np.ndarray, offset: np.ndarray, length: np.ndarray) -> np.ndarray:
+    def _hash(self, row: np.ndarray, offset: np.ndarray, length: np.ndarray | int) -> np.ndarray:
         return (self.prefix[row, offset + length] - self.prefix[row, offset]) * self.back[offset]
 
-    def common(self, r1: np.ndarray, o1: np.ndarray, r2: np.ndarray, o2: np.ndarray) -> np.ndarray:
-        """Length of the common extension, up to LENGTH, by binary search over prefix hashes."""
-        low = np.zeros(len(r1), np.int64)
+    def common(self, r1: np.ndarray, o1: np.ndarray, r2: np.ndarray, o2: np.ndarray, least: int = 0) -> np.ndarray:
+        """Length of the common extension, up to LENGTH, by binary search over prefix hashes; ``least`` bytes are known to agree."""
+        low = np.full(len(r1), least, np.int64)
         high = np.full(len(r1), LENGTH, np.int64)
         while (low < high).any():
             middle = (low + high + 1) >> 1
@@ -153,118 +187,170 @@ class SuffixSort:
             high = np.where(same, high, middle - 1)
         return low
 
-    def compare(self, r1: np.ndarray, o1: np.ndarray, r2: np.ndarray, o2: np.ndarray) -> np.ndarray:
+    def compare(self, r1: np.ndarray, o1: np.ndarray, r2: np.ndarray, o2: np.ndarray, least: int = 0) -> np.ndarray:
         """-1, 0 or 1."""
-        k = self.common(r1, o1, r2, o2)
-        last = np.minimum(k, LENGTH - 1)
-        a = self.rows[r1, o1 + last].astype(np.int16)
-        b = self.rows[r2, o2 + last].astype(np.int16)
-        return np.where(k == LENGTH, 0, np.sign(a - b))
-
-    def _word(self, row: np.ndarray, offset: np.ndarray, skip: int) -> np.ndarray:
-        out = np.zeros(len(row), np.uint64)
-        for j in range(8):
-            out = (out << np.uint64(8)) | self.rows[row, offset + (skip + j)]
+        out = np.zeros(len(r1), np.int8)
+        apart = np.flatnonzero(self._hash(r1, o1, LENGTH) != self._hash(r2, o2, LENGTH))
+        r1, o1, r2, o2 = r1[apart], o1[apart], r2[apart], o2[apart]
+        last = np.minimum(self.common(r1, o1, r2, o2, least), LENGTH - 1)
+        a, b = self.rows[r1, o1 + last], self.rows[r2, o2 + last]
+        out[apart] = np.where(a < b, -1, 1)
         return out
 
-    def classes(self, row: np.ndarray, offset: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-        """The sorted order, and for each place in it whether a new string begins there.
+    def folded(self, row: np.ndarray, offset: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """The distinct strings in order, each by one suffix that has it, and for every suffix the one that has its string.
 
-        The first 16 bytes are sorted as two words; what ties there goes through
-        a bottom-up mergesort, all pairs of runs at once, each element finding
-        its rank in the other run by binary search.
+        The first 16 bytes are sorted as two words.  What ties there goes
+        through a bottom-up mergesort, all pairs of runs at once: an element of
+        a right run finds its rank in the left one by binary search, or the
+        equal element there that it is folded into.  So runs hold distinct
+        strings, and what many rows share shrinks from level to level.
         """
-        n = len(row)
+        n, width = len(row), self.rows.shape[1]
+        owner = np.arange(n)
         if not n:
-            return np.zeros(0, np.int64), np.zeros(0, bool)
-        first, second = self._word(row, offset, 0), self._word(row, offset, 8)
-        order = np.lexsort((second, first))
-        head = np.ones(n, bool)
-        head[1:] = (first[order[1:]] != first[order[:-1]]) | (second[order[1:]] != second[order[:-1]])
-        starts = np.flatnonzero(head)
-        lengths = np.diff(np.append(starts, n))
-        tied = np.repeat(lengths > 1, lengths)
-        where = np.flatnonzero(tied)
-        begin = np.repeat(starts, lengths)[where]
-        end = begin + np.repeat(lengths, lengths)[where]
-        run, most = 1, int(lengths.max())
-        while run < most:
-            place = where - begin
-            mine = place // run
-            base = begin + (mine // 2) * 2 * run
-            odd = (mine & 1) == 1
-            other = np.where(odd, base, np.minimum(base + run, end))
-            low, high = other.copy(), np.minimum(other + run, end)
-            r, o = row[order[where]], offset[order[where]]
+            return owner, owner
+        place = row.astype(np.int64) * width + offset
+        first, second = self.words[place], self.words[place + 8]
+        item = np.lexsort((second, first))
+        head = np.append(True, (first[item[1:]] != first[item[:-1]]) | (second[item[1:]] != second[item[:-1]]))
+        segment = np.cumsum(head) - 1
+        sizes = np.bincount(segment)
+        run = np.arange(n) - (np.cumsum(sizes) - sizes)[segment]
+        done_items, done_segments = [], []
+        while True:
+            several = (np.bincount(segment, run, len(sizes)) > 0)[segment]  # a segment with more than one run
+            done_items.append(item[~several])
+            done_segments.append(segment[~several])
+            item, segment, run = item[several], segment[several], run[several]
+            if not len(item):
+                break
+            new = np.append(True, (segment[1:] != segment[:-1]) | (run[1:] >> 1 != run[:-1] >> 1))
+            begin = np.flatnonzero(new)  # of the pairs of runs
+            pair = np.cumsum(new) - 1
+            odd = (run & 1).astype(bool)
+            lefts = np.bincount(pair, ~odd, len(begin)).astype(np.int64)
+            me = np.flatnonzero(odd)
+            low = begin[pair[me]]
+            high = low + lefts[pair[me]]
+            base = low.copy()
+            match = np.full(len(me), -1)
             active = np.flatnonzero(low < high)
             while len(active):
                 middle = (low[active] + high[active]) >> 1
-                p = order[middle]
-                sign = self.compare(row[p], offset[p], r[active], o[active])
-                before = np.where(odd[active], sign <= 0, sign < 0)
-                low[active] = np.where(before, middle + 1, low[active])
-                high[active] = np.where(before, high[active], middle)
-                active = active[low[active] < high[active]]
-            target = base + (place - mine * run) + (low - other)
-            moved = order[where]
-            order[target] = moved
-            run *= 2
-        a, b = order[:-1], order[1:]
-        new = np.ones(n, bool)
-        new[1:] = head[1:]
-        check = np.flatnonzero(~head[1:])
-        new[check + 1] = self.common(row[a[check]], offset[a[check]], row[b[check]], offset[b[check]]) < LENGTH
-        equal = np.flatnonzero(~new[1:])
-        if self.differ(row[a[equal]], offset[a[equal]], row[b[equal]], offset[b[equal]]):
-            return self._by_bytes(row, offset)
-        return order, new
-
-    def differ(self, r1: np.ndarray, o1: np.ndarray, r2: np.ndarray, o2: np.ndarray) -> bool:
-        """Collision verification: whether strings that hashes call equal differ in a byte."""
-        flat, width = self.rows.ravel(), self.rows.shape[1]
-        a, b = r1.astype(np.int64) * width + o1, r2.astype(np.int64) * width + o2
-        todo = np.flatnonzero(a != b)
-        a, b = a[todo], b[todo]
-        return any((flat[a + k] != flat[b + k]).any() for k in range(LENGTH))
+                p, q = item[middle], item[me[active]]
+                sign = self.compare(row[p], offset[p], row[q], offset[q], 16)
+                low[active] = np.where(sign < 0, middle + 1, low[active])
+                high[active] = np.where(sign < 0, high[active], middle)
+                match[active] = np.where(sign == 0, middle, -1)
+                active = active[(sign != 0) & (low[active] < high[active])]
+            equal = match >= 0
+            a, b = item[match[equal]], item[me[equal]]
+            if self.differ(place[a], place[b]):
+                return self._by_bytes(row, offset)
+            owner[b] = a
+            stays = np.ones(len(item), bool)
+            stays[me[equal]] = False
+            me, rank = me[~equal], (low - base)[~equal]
+            left_items = np.flatnonzero(~odd)
+            kept = np.bincount(pair[stays], minlength=len(begin))
+            start = np.cumsum(kept) - kept
+            rights = np.bincount(pair[me], minlength=len(begin))
+            nth = np.arange(len(me)) - (np.cumsum(rights) - rights)[pair[me]]
+            target = start[pair[me]] + rank + nth
+            order = np.empty(int(kept.sum()), np.int64)
+            free = np.ones(len(order), bool)
+            free[target] = False
+            order[target] = me
+            order[free] = left_items
+            item, segment, run = item[order], segment[order], run[order] >> 1
+        items, segments = np.concatenate(done_items), np.concatenate(done_segments)
+        while True:
+            up = owner[owner]
+            if (up == owner).all():
+                return items[np.argsort(segments, kind="stable")], owner
+            owner = up
+
+    def differ(self, a: np.ndarray, b: np.ndarray) -> bool:
+        """Collision verification: whether strings at two places that hashes call equal differ in a byte."""
+        return any((self.words[a + k] != self.words[b + k]).any() for k in (0, 8, 16, 24, 32, 40, LENGTH - 8))
 
     def _by_bytes(self, row: np.ndarray, offset: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
         """The same without hashes, for the case that two strings have one hash."""
         whole = self.rows[row[:, None], offset[:, None] + np.arange(LENGTH)]
-        keys = np.ascontiguousarray(whole).view(f"S{LENGTH}").ravel() if not (whole == 0).any() else np.array([bytes(x) + b"\1" for x in whole])
-        order = np.argsort(keys, kind="stable")
-        new = np.ones(len(row), bool)
-        new[1:] = keys[order[1:]] != keys[order[:-1]]
-        return order, new
+        _, some, of = np.unique(whole, axis=0, return_index=True, return_inverse=True)
+        return some, some[of.ravel()]
 
 
 def smallest_owner(rows: np.ndarray, left: np.ndarray, right: np.ndarray, doc: np.ndarray) -> np.ndarray:
-    """For every row and string offset 0..LEFT the smallest ``doc`` of a row that has this string at all; int64 max where there is none."""
-    n = len(rows)
-    out = np.full((n, LEFT + 1), np.iinfo(np.int64).max)
+    """For every row and string offset 0..LEFT the smallest ``doc`` of a row that has this string; int64 max where there is none."""
+    out = np.full((len(rows), LEFT + 1), np.iinfo(np.int64).max)
     o = np.arange(LEFT + 1)
-    valid = (o >= LEFT - left[:, None]) & (o + LENGTH <= LEFT + right[:, None])
-    row, offset = np.nonzero(valid)
+    row, offset = np.nonzero((o >= LEFT - left[:, None]) & (o + LENGTH <= LEFT + right[:, None]))
     if not len(row):
         return out
     row, offset = row.astype(np.int32), offset.astype(np.int32)
-    sort = SuffixSort(rows)
-    # suffixes whose first LENGTH bytes have one hash are sorted as one, once those bytes have been compared
-    whole = sort._hash(row, offset, LENGTH)
-    by_hash = np.argsort(whole, kind="stable")
-    starts = np.flatnonzero(np.append(True, whole[by_hash[1:]] != whole[by_hash[:-1]]))
-    lengths = np.diff(np.append(starts, len(by_hash)))
-    first = by_hash[starts]
-    if sort.differ(row[by_hash], offset[by_hash], np.repeat(row[first], lengths), np.repeat(offset[first], lengths)):
-        starts, by_hash = np.arange(len(row)), np.arange(len(row))
-        lengths, first = np.ones(len(row), np.int64), by_hash
-    least = np.minimum.reduceat(doc[row[by_hash]], starts)
-    order, new = sort.classes(row[first], offset[first])
-    begins = np.flatnonzero(new)
-    least[order] = np.repeat(np.minimum.reduceat(least[order], begins), np.diff(np.append(begins, len(order))))
-    out[row[by_hash], offset[by_hash]] = np.repeat(least, lengths)
+    _, owner = SuffixSort(rows).folded(row, offset)
+    least = np.full(len(row), np.iinfo(np.int64).max)
+    np.minimum.at(least, owner, doc[row])
+    out[row, offset] = least[owner]
+    return out
+
+
+def owners(rows: np.ndarray, left: np.ndarray, right: np.ndarray, doc: np.ndarray) -> np.ndarray:
+    """``smallest_owner`` of many rows, by anchors: equal strings lie around equal grams at the same place.
+
+    A gram with one row needs no sort, and the others are sorted a few at a
+    time; one with very many rows offset by offset, by the first bytes there.
+    """
+    out = np.full((len(rows), LEFT + 1), np.iinfo(np.int64).max)
+    o = np.arange(LEFT + 1)
+    valid = (o >= LEFT - left[:, None]) & (o + LENGTH <= LEFT + right[:, None])
+    grams = np.ascontiguousarray(rows[:, LEFT : LEFT + GRAM]).view(np.uint64).reshape(len(rows), -1)
+    order = np.lexsort(grams.T)
+    starts = np.flatnonzero(np.append(True, (grams[order[1:]] != grams[order[:-1]]).any(1)))
+    sizes = np.diff(np.append(starts, len(rows)))
+    alone = order[starts[sizes == 1]]
+    out[alone] = np.where(valid[alone], doc[alone][:, None], out[alone])
+    many = np.flatnonzero(sizes > 1)
+    batch, held = [], 0
+    for k in many:
+        if sizes[k] > SORT_ROWS:
+            own = order[starts[k] : starts[k] + sizes[k]]
+            for at in range(LEFT + 1):
+                _one_offset(rows, own[valid[own, at]], at, doc, out)
+            continue
+        batch.append(order[starts[k] : starts[k] + sizes[k]])
+        held += sizes[k]
+        if held >= SORT_ROWS:
+            own = np.concatenate(batch)
+            out[own] = smallest_owner(rows[own], left[own], right[own], doc[own])
+            batch, held = [], 0
+    if batch:
+        own = np.concatenate(batch)
+        out[own] = smallest_owner(rows[own], left[own], right[own], doc[own])
     return out
 
 
+def _one_offset(rows: np.ndarray, own: np.ndarray, at: int, doc: np.ndarray, out: np.ndarray) -> None:
+    """The strings of very many rows at one offset: rows that agree on the first 32 bytes are sorted together."""
+    if not len(own):
+        return
+    words = np.ascontiguousarray(rows[own, at : at + 32]).view(np.uint64).reshape(len(own), -1)
+    order = np.lexsort(words.T)
+    cuts = np.flatnonzero((words[order[1:]] != words[order[:-1]]).any(1)) + 1
+    begin = 0
+    while begin < len(own):
+        k = np.searchsorted(cuts, begin + SORT_ROWS)
+        stop = int(cuts[k]) if k < len(cuts) else len(own)
+        some = own[order[begin:stop]]
+        _, owner = SuffixSort(rows[some]).folded(np.arange(len(some), dtype=np.int32), np.full(len(some), at, np.int32))
+        least = np.full(len(some), np.iinfo(np.int64).max)
+        np.minimum.at(least, owner, doc[some])
+        out[some, at] = least[owner]
+        begin = stop
+
+
 def _pack(a: np.ndarray) -> bytes:
     return zstandard.ZstdCompressor(level=1).compress(np.ascontiguousarray(a).tobytes())
 
@@ -298,31 +384,36 @@ def remove_repeats(docs: DataFrame, text: str = "text", carry: bool = False, cha
     slim = base.where("id is not null").select("id", "g", "b")
 
     def deal(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        task, number = TaskContext.get().partitionId(), 0
-        for batch in chunks(batches, "b", PIECE_BYTES):
-            a = Anchors(batch.column("b").to_pylist())
-            ids = batch.column("id").to_numpy()
-            groups = batch.column("g").to_numpy()
-            order = np.lexsort((a.doc, a.gram))
-            gram, doc = a.gram[order], a.doc[order]
-            if not len(gram):
-                continue
-            new = np.ones(len(gram), bool)
-            new[1:] = (gram[1:] != gram[:-1]) | (ids[doc[1:]] != ids[doc[:-1]])
-            gram, doc = gram[new], doc[new]
+        held, size = [], 0
+
+        def out() -> pa.RecordBatch:
+            gram, ids, groups = (np.concatenate(x) for x in zip(*held))
             bucket = (gram % np.uint64(parts)).astype(np.int32)
-            order = np.argsort(bucket, kind="stable")
-            gram, doc, bucket = gram[order], doc[order], bucket[order]
+            order = np.lexsort((ids, gram, bucket))
+            gram, ids, groups, bucket = gram[order], ids[order], groups[order], bucket[order]
+            new = np.append(True, (gram[1:] != gram[:-1]) | (ids[1:] != ids[:-1]))
+            gram, ids, groups, bucket = gram[new], ids[new], groups[new], bucket[new]
             starts = np.append(np.flatnonzero(np.append(True, bucket[1:] != bucket[:-1])), len(bucket))
             cut = list(zip(starts[:-1], starts[1:]))
             columns = [
-                pa.array([int(bucket[s]) for s, _ in cut], pa.int32()),
+                pa.array(bucket[starts[:-1]], pa.int32()),
                 pa.array([_pack(np.diff(gram[s:e], prepend=np.uint64(0))) for s, e in cut], pa.binary()),
-                pa.array([_pack(ids[doc[s:e]].astype(np.int64)) for s, e in cut], pa.binary()),
-                pa.array([_pack(groups[doc[s:e]].astype(np.int32)) for s, e in cut], pa.binary()),
+                pa.array([_pack(ids[s:e]) for s, e in cut], pa.binary()),
+                pa.array([_pack(groups[s:e]) for s, e in cut], pa.binary()),
             ]
-            number += 1
-            yield pa.RecordBatch.from_arrays(columns, ["bucket", "grams", "ids", "groups"])
+            return pa.RecordBatch.from_arrays(columns, ["bucket", "grams", "ids", "groups"])
+
+        for batch in chunks(batches, "b", PIECE_BYTES):
+            ids, groups = batch.column("id").to_numpy(), batch.column("g").to_numpy()
+            for a in anchors_of(batch.column("b").to_pylist()):
+                if len(a.at):
+                    held.append((a.gram, ids[a.doc], groups[a.doc]))
+                    size += len(a.at)
+            if size >= DEAL:
+                yield out()
+                held, size = [], 0
+        if held:
+            yield out()
 
     def shared(table: pa.Table) -> pa.Table:
         grams = np.concatenate([np.cumsum(_unpack(x.as_py(), np.uint64), dtype=np.uint64) for x in table.column("grams")])
@@ -355,20 +446,19 @@ def remove_repeats(docs: DataFrame, text: str = "text", carry: bool = False, cha
         g = left_table.column("g")[0].as_py()
         found = []
         for batch in _pieces(left_table, "b"):
-            a = Anchors(batch.column("b").to_pylist())
-            at = np.minimum(np.searchsorted(wanted, a.gram), len(wanted) - 1)
-            a.keep(wanted[at] == a.gram)
-            if not len(a.at):
-                continue
-            left, right, h = a.around()
-            ids = batch.column("id").to_numpy()[a.doc]
-            order = np.lexsort((ids, h))
-            new = np.append(True, h[order][1:] != h[order][:-1])
-            starts = np.flatnonzero(new)
-            first = order[starts]
-            low, high = ids[first], np.maximum.reduceat(ids[order], starts)
-            a.keep(first)
-            found.append((a.gram, a.stretches(left[first], right[first]), left[first], right[first], h[first], low, high))
+            numbers = batch.column("id").to_numpy()
+            for a in anchors_of(batch.column("b").to_pylist()):
+                at = np.minimum(np.searchsorted(wanted, a.gram), len(wanted) - 1)
+                a.keep(wanted[at] == a.gram)
+                if not len(a.at):
+                    continue
+                h, ids = a.around(), numbers[a.doc]
+                order = np.lexsort((ids, h))
+                starts = np.flatnonzero(np.append(True, h[order][1:] != h[order][:-1]))
+                first = order[starts]
+                high = np.maximum.reduceat(ids[order], starts)
+                a.keep(first)
+                found.append((a.gram, a.stretches(), a.left.astype(np.uint8), a.right.astype(np.uint8), h[first], ids[first], high))
         if not found:
             return pa.table([pa.array([], k) for k in kinds], names)
         gram, rows, left, right, h, low, high = (np.concatenate(x) for x in zip(*found))
@@ -383,7 +473,7 @@ def remove_repeats(docs: DataFrame, text: str = "text", carry: bool = False, cha
         out = []
         for s, e in zip(edges[:-1], edges[1:]):
             k = order[s:e]
-            out.append((int(bucket[k[0]]), g, _pack(rows[k]), _pack(left[k].astype(np.uint8)), _pack(right[k].astype(np.uint8)), _pack(h[k]), _pack(low[k]), _pack(high[k])))
+            out.append((int(bucket[k[0]]), g, _pack(rows[k]), _pack(left[k]), _pack(right[k]), _pack(h[k]), _pack(low[k]), _pack(high[k])))
         return pa.table([pa.array(c, k) for c, k in zip(zip(*out), kinds)], names)
 
     def judge(table: pa.Table) -> pa.Table:
@@ -400,7 +490,7 @@ def remove_repeats(docs: DataFrame, text: str = "text", carry: bool = False, cha
         np.minimum.at(least, inverse, low)
         some = np.zeros(len(keys), np.int64)
         some[inverse] = np.arange(len(h))
-        owner = smallest_owner(rows[some], left[some].astype(np.int64), right[some].astype(np.int64), least)
+        owner = owners(rows[some], left[some].astype(np.int64), right[some].astype(np.int64), least)
         out = []
         ends = np.cumsum(sizes)
         for k, g in enumerate(table.column("g").to_pylist()):
@@ -430,17 +520,18 @@ def remove_repeats(docs: DataFrame, text: str = "text", carry: bool = False, cha
             ends = np.cumsum(sizes)
             goes = np.zeros(int(sizes.sum()) + 1, np.int32)
             if len(h):
-                a = Anchors(texts)
-                left, right, own = a.around()
-                at = np.minimum(np.searchsorted(h, own), len(h) - 1)
-                hit = np.flatnonzero(h[at] == own)
                 number = np.array([np.iinfo(np.int64).min if x is None else x for x in ids], np.int64)
-                earlier = owner[at[hit]] < number[a.doc[hit]][:, None]
-                k, o = np.nonzero(earlier)
-                start = a.at[hit[k]] - LEFT + o
-                np.add.at(goes, start, 1)
-                np.add.at(goes, start + LENGTH, -1)
-            gone = np.cumsum(goes[:-1]) > 0
+                for a in anchors_of(texts):
+                    own = a.around()
+                    at = np.minimum(np.searchsorted(h, own), len(h) - 1)
+                    hit = np.flatnonzero(h[at] == own)
+                    earlier = owner[at[hit]] < number[a.doc[hit]][:, None]
+                    k, o = np.nonzero(earlier)
+                    k = hit[k]
+                    start = (ends - sizes)[a.doc[k]] + a.place[k] - LEFT + o
+                    np.add.at(goes, start, 1)
+                    np.add.at(goes, start + LENGTH, -1)
+            gone = np.cumsum(goes[:-1], dtype=np.int32) > 0
             data = np.frombuffer(b"".join(texts), np.uint8)
             if characters and gone.any():
                 begins = np.flatnonzero((data & 0xC0) != 0x80)
@@ -456,10 +547,10 @@ def remove_repeats(docs: DataFrame, text: str = "text", carry: bool = False, cha
         return pa.concat_tables(done)
 
     dealt = map_arrow(slim, deal, "bucket int, grams binary, ids binary, groups binary")
-    wanted = materialize(dealt.groupBy("bucket").applyInArrow(shared, "g int, grams binary"), "anchors")
-    seen = slim.groupBy("g").cogroup(wanted.groupBy("g")).applyInArrow(surround, "bucket int, g int, bytes binary, left binary, right binary, hash binary, low binary, high binary")
-    owners = materialize(seen.groupBy("bucket").applyInArrow(judge, "g int, hash binary, owner binary"), "owners")
-    out = base.select("id", "g", "b", "row").groupBy("g").cogroup(owners.groupBy("g")).applyInArrow(remove, out_schema)
+    wanted = materialize(dealt.groupBy("bucket").applyInArrow(tidy_group(shared), "g int, grams binary"), "anchors")
+    seen = slim.groupBy("g").cogroup(wanted.groupBy("g")).applyInArrow(tidy_group(surround), "bucket int, g int, bytes binary, left binary, right binary, hash binary, low binary, high binary")
+    judged = materialize(seen.groupBy("bucket").applyInArrow(tidy_group(judge), "g int, hash binary, owner binary"), "owners")
+    out = base.select("id", "g", "b", "row").groupBy("g").cogroup(judged.groupBy("g")).applyInArrow(tidy_group(remove), out_schema)
     return out if carry else out.drop("row")
 
 

@@ -126,18 +126,60 @@ def test_repeats_match_brute_force(docs, none):
     assert suffixes.repeats_digest(none).count() == 0
 
 
-def test_suffix_sort_orders_and_tells_apart():
+def stretches_of_few_letters(n=120):
     rng = np.random.default_rng(1)
-    rows = rng.integers(97, 99, (120, suffixes.WIDE)).astype(np.uint8)
-    for i in range(1, 120):
+    rows = rng.integers(97, 99, (n, suffixes.WIDE)).astype(np.uint8)
+    for i in range(1, n):
         if rng.random() < 0.8:
             rows[i] = rows[rng.integers(0, i)]
             rows[i, rng.integers(0, suffixes.WIDE)] = 97
-    r, o = np.nonzero(np.ones((120, suffixes.LEFT + 1), bool))
-    order, new = suffixes.SuffixSort(rows).classes(r, o)
-    strings = [rows[r[k], o[k] : o[k] + 50].tobytes() for k in order]
-    assert strings == sorted(strings)
-    assert [True, *(a != b for a, b in zip(strings, strings[1:]))] == new.tolist()
+    return rows
+
+
+def test_suffix_sort_orders_and_tells_apart():
+    rows = stretches_of_few_letters()
+    r, o = (x.astype(np.int32) for x in np.nonzero(np.ones((120, suffixes.LEFT + 1), bool)))
+    strings = [rows[a, b : b + 50].tobytes() for a, b in zip(r, o)]
+    order, owner = suffixes.SuffixSort(rows).folded(r, o)
+    assert [strings[k] for k in order] == sorted(set(strings))
+    assert all(strings[a] == strings[b] for a, b in enumerate(owner)) and len(set(owner)) == len(set(strings))
+
+
+def test_owners_come_from_the_sort(monkeypatch):
+    rows = stretches_of_few_letters()
+    gram = slice(suffixes.LEFT, suffixes.LEFT + suffixes.GRAM)
+    rows[:100, gram] = rows[0, gram]
+    doc = np.random.default_rng(6).permutation(120).astype(np.int64)
+    full = [np.full(120, n) for n in (suffixes.LEFT, suffixes.LENGTH)]
+    least = {}
+    for row, d in zip(rows, doc):
+        for o in range(suffixes.LEFT + 1):
+            key = o, row[gram].tobytes(), row[o : o + 50].tobytes()
+            least[key] = min(least.get(key, d), d)
+    wanted = [[least[o, row[gram].tobytes(), row[o : o + 50].tobytes()] for o in range(suffixes.LEFT + 1)] for row in rows]
+    assert suffixes.owners(rows, *full, doc).tolist() == wanted
+    monkeypatch.setattr(suffixes, "SORT_ROWS", 16)  # a gram with more rows than are sorted at once
+    assert suffixes.owners(rows, *full, doc).tolist() == wanted
+    monkeypatch.setattr(suffixes.SuffixSort, "folded", lambda self, row, offset: (np.arange(len(row)), np.arange(len(row))))
+    assert suffixes.owners(rows, *full, doc).tolist() != wanted
+
+
+def test_equal_hashes_are_verified(monkeypatch):
+    rows = stretches_of_few_letters()
+    r, o = (x.astype(np.int32) for x in np.nonzero(np.ones((120, suffixes.LEFT + 1), bool)))
+    strings = [rows[a, b : b + 50].tobytes() for a, b in zip(r, o)]
+    monkeypatch.setattr(suffixes.SuffixSort, "_hash", lambda self, row, offset, length: np.zeros(len(row), np.uint64))
+    order, owner = suffixes.SuffixSort(rows).folded(r, o)
+    assert [strings[k] for k in order] == sorted(set(strings)) and all(strings[a] == strings[b] for a, b in enumerate(owner))
+
+
+def test_windows_of_a_long_text_have_the_anchors_of_the_whole(monkeypatch):
+    rng = np.random.default_rng(4)
+    texts = [bytes(rng.integers(97, 101, n).astype(np.uint8)) for n in (5000, 30, 0, 700)]
+    parts = lambda: sorted((int(d), int(p), int(g), int(h)) for a in suffixes.anchors_of(texts) for d, p, g, h in zip(a.doc, a.place, a.gram, a.around()))
+    whole = parts()
+    monkeypatch.setattr(suffixes, "PIECE_BYTES", 256)
+    assert parts() == whole and whole
 
 
 @pytest.mark.parametrize("width", [2, 5])
