@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import gc
 import tempfile
 import uuid
 
@@ -28,9 +29,16 @@ def materialize(df: DataFrame, label: str = "step", **options: str) -> DataFrame
     df.write.options(**options).parquet(path)
     out = spark.read.schema(df.schema).parquet(path)
     out._curata_path = path  # type: ignore[attr-defined]
+    sweep(spark)
     return out
 
 
+def sweep(spark: SparkSession) -> None:
+    """Let the driver collect its garbage: only then do executors delete the shuffle files of a lineage that was cut."""
+    gc.collect()
+    spark._jvm.System.gc()
+
+
 def discard(df: DataFrame) -> None:
     """Delete what ``materialize`` wrote, once nothing reads it any more."""
     path = getattr(df, "_curata_path", None)
