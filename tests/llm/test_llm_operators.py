@@ -285,26 +285,66 @@ def test_every_token_trains_the_field(n):
     rng = np.random.default_rng(3)
     texts = [" ".join(rng.choice(WORDS, n)) for _ in range(400)]
     labels = [int(k % 4 == 0) for k in range(400)]
-    texts = [t + " vile" if y else t for t, y in zip(texts, labels)]  # after the last whole window of 32
+    texts = [t + " vile" if y else t for t, y in zip(texts, labels)]
     model = toxicity.fit_field(texts, labels)
-    assert len(model.weights) == len(model.words) + len(model.starts) and model.weights[model.words["vile"]] > 0
-    judged = [model.score(*toxicity._document(model, toxicity.tokens(t))[:2]) >= 0.5 for t in texts]
-    assert judged == [y == 1 for y in labels]
+    assert model.weights["wvile"] > 0
+    found, marginal, sizes = toxicity.Reader(model).read([t.split() for t in texts])
+    assert (model.score(found) >= 0.5).tolist() == [y == 1 for y in labels]
+    last = marginal[np.cumsum(sizes) - 1]
+    assert (last[np.array(labels) == 1] > 0.5).all()
 
 
-def test_field_marginals_match_all_paths():
-    model = toxicity.Field(words={"bad": 0}, weights=np.array([3.0]), bias=-1.5, transition=np.array([[0.3, -0.2], [-0.4, 0.5]]))
-    n, at = 9, [1, 7]
-    e = np.full(n, -1.5)
-    e[at] += 3.0
-    total, toxic = 0.0, np.zeros(n)
+def all_paths(e, transition):
+    """Sum of all taggings over that without toxic tokens, marginals, and expected pairs of tags."""
+    n = len(e)
+    total, toxic, pairs = 0.0, np.zeros(n), np.zeros((2, 2))
     for path in range(1 << n):
         tags = [(path >> k) & 1 for k in range(n)]
-        weight = np.exp(sum(e[k] * tags[k] for k in range(n)) + sum(model.transition[a, b] for a, b in zip(tags, tags[1:])))
+        weight = np.exp(sum(e[k] * tags[k] for k in range(n)) + sum(transition[a, b] for a, b in zip(tags, tags[1:])))
         total += weight
         toxic += weight * np.array(tags)
-    for k, p in model.marginals([3.0, 3.0], at, n):
-        assert p == pytest.approx(toxic[k] / total)
+        for a, b in zip(tags, tags[1:]):
+            pairs[a, b] += weight
+    return total, toxic / max(total, 1e-300), pairs / max(total, 1e-300)
+
+
+def test_field_marginals_match_all_paths():
+    rng = np.random.default_rng(12)
+    sizes = np.array([9, 0, 1, 5, 8])
+    e = rng.normal(-1, 2, sizes.sum())
+    transition = np.array([[0.0, -0.7], [-0.4, 0.9]])
+    chain = toxicity.Chain(e, sizes, transition, width=4)
+    ends = np.cumsum(sizes)
+    for k, n in enumerate(sizes):
+        own = slice(ends[k] - n, ends[k])
+        total, toxic, pairs = all_paths(e[own], transition)
+        assert chain.log_z[k] == pytest.approx(np.log(total)) and chain.marginal[own] == pytest.approx(toxic)
+        assert chain.pairs[k] == pytest.approx(pairs.ravel())
+
+
+def test_document_scores_match_all_paths():
+    model = toxicity.Field({"wbad": 2.0, "e" + "ful": 1.0, "pvery": 0.5, "nyou": 0.7, "sA": -0.5}, -1.5, np.array([[0.0, -0.2], [-0.4, 0.5]]), (-1.0, 0.6, 2.0))
+    for text in ("a very bad you awful I", "BAD", "", "nothing here"):
+        e = []
+        words = text.split()
+        for k, w in enumerate(words):
+            e.append(-1.5 + 2.0 * (w.lower() == "bad") + (w == "awful") - 0.5 * (w in ("I", "BAD")) + 0.5 * (k > 0 and words[k - 1] == "very") + 0.7 * (k + 1 < len(words) and words[k + 1] == "you"))
+        toxic = all_paths(e, model.transition)[1] if e else np.zeros(0)
+        z = -1.0 + 0.6 * np.log(toxic.sum() + 1e-3) + 2.0 * toxic.max(initial=0)
+        assert model.score(toxicity.Reader(model).read([words])[0])[0] == pytest.approx(1 / (1 + np.exp(-z)))
+
+
+def test_long_texts_are_scored_whole(spark):
+    rng = np.random.default_rng(2)
+    model = toxicity.Field({"wvile": 9.0}, -4.0, np.array([[0.0, -1.0], [0.0, 1.0]]), (-3.0, 0.5, 4.0))
+    words = rng.choice(WORDS, 150_000).tolist()
+    words[149_990] = "vile"
+    e, sizes = toxicity.Reader(model).emissions([words, [], words[:7]])
+    a, b = toxicity.Chain(e, sizes, model.transition), toxicity.Chain(e, sizes, model.transition, width=999)
+    assert a.marginal == pytest.approx(b.marginal) and a.log_z == pytest.approx(b.log_z)
+    assert (a.marginal > 0).all() and a.marginal[149_990] > 0.5
+    rows = toxicity.score(spark.createDataFrame([(1, " ".join(words)), (2, None)], "`a.b` long, text string"), model).collect()
+    assert [r.predicted for r in rows] == [1, 0] and rows[1].text is None and rows[0].text[slice(*rows[0].spans[0])] == "vile"
 
 
 def vectors():
