@@ -17,6 +17,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
 from curata.llm.common import WORD
+from curata.storage import materialize
 
 #: Relative demand of sources in code-point order, repeating.
 WEIGHTS = (1, 2, 3)
@@ -66,7 +67,7 @@ def _schedule_time(done: Column, slope: Column) -> Column:
     return 2 * done / ((1 - slope) + F.sqrt((1 - slope) * (1 - slope) + 4 * slope * done))
 
 
-def assign(docs: DataFrame, weights: Sequence[float] = WEIGHTS, slopes: Sequence[float] = SLOPES, cap: int = CAP) -> DataFrame:
+def assign(docs: DataFrame, weights: Sequence[float] = WEIGHTS, slopes: Sequence[float] = SLOPES, cap: int = CAP, sizes: DataFrame | None = None) -> DataFrame:
     """Per row of ``doc_id, source, size, ...``: ``source_size, target, slope, goal, offset`` beside its own columns.
 
     ``goal`` is the target in whole words; ``offset`` counts the words of the
@@ -76,14 +77,21 @@ def assign(docs: DataFrame, weights: Sequence[float] = WEIGHTS, slopes: Sequence
     or repeated id, a null source and empty texts are ordinary values; rows
     equal in id and size are interchangeable.
 
+    ``sizes`` may give ``doc_id, source, size`` of the same rows as a written
+    table, from which the totals are then taken instead of from ``docs``.
     Running totals have three levels (1024 parts of a source, 1024 parts of
     each, rows), so that no task holds a source: a hot one costs more parts.
     """
+    own = [F.col(f"`{c}`") for c in docs.columns]
     h = F.md5(F.coalesce(F.col("doc_id").cast("string"), F.lit("")).cast("binary"))
-    rows = docs.withColumns({"skey": F.when(F.col("source").isNull(), "n").otherwise(F.concat(F.lit("s"), "source")), "h": h})
-    rows = rows.withColumns({"part": F.conv(F.substring("h", 1, 5), 16, 10).cast("int")})
+
+    def keyed(df: DataFrame) -> DataFrame:
+        df = df.withColumns({"skey": F.when(F.col("source").isNull(), "n").otherwise(F.concat(F.lit("s"), "source")), "h": h})
+        return df.withColumns({"part": F.conv(F.substring("h", 1, 5), 16, 10).cast("int")})
+
+    rows = keyed(docs)
     coarse = F.shiftright(F.col("part"), 10).alias("coarse")
-    fine = rows.groupBy("skey", "part").agg(F.sum("size").alias("part_size"), F.min("source").alias("source"))
+    fine = keyed(docs if sizes is None else sizes).groupBy("skey", "part").agg(F.sum("size").alias("part_size"), F.min("source").alias("source"))
     fine = fine.withColumn("coarse", coarse)
     big = fine.groupBy("skey", "coarse").agg(F.sum("part_size").alias("coarse_size"), F.min("source").alias("source"))
     totals = big.groupBy("skey").agg(F.sum("coarse_size").alias("source_size"), F.min("source").alias("source"))
@@ -100,7 +108,7 @@ def assign(docs: DataFrame, weights: Sequence[float] = WEIGHTS, slopes: Sequence
     rows = rows.withColumn("here", running("size", ["skey", "part"], "h", "doc_id", "size"))
     out = rows.join(fine, ["skey", "part"])
     return out.select(
-        *docs.columns,
+        *own,
         "source_size",
         "target",
         "slope",
@@ -129,13 +137,14 @@ def mix(docs: DataFrame, text: str = "text", weights: Sequence[float] = WEIGHTS,
     there is such a column.  Documents without words are kept once, at the
     position their place in the source gives.  An empty table stays empty.
     """
-    inner = docs.select(F.struct(*docs.columns).alias("row"), "doc_id", "source", word_count(F.col(text)).alias("size"))
-    placed = assign(inner, weights, slopes, cap)
+    inner = docs.select(F.struct(*[F.col(f"`{c}`") for c in docs.columns]).alias("row"), "doc_id", "source", word_count(F.col(f"`{text}`")).alias("size"))
+    sizes = materialize(inner.select("doc_id", "source", "size"), "sizes")
+    placed = assign(inner, weights, slopes, cap, sizes)
     copies = placed.withColumn("copy", F.explode(F.sequence(F.lit(0), F.lit(cap - 1))))
     copies = copies.withColumns({"words": taken_words(F.col("copy")), "position": position(F.col("copy"))})
     copies = copies.where("words > 0 or (size = 0 and copy = 0)")
     head = F.expr(r"regexp_extract(row.`" + text + r"`, concat('^(?:[\\x20\\x09-\\x0D]*+[^\\x20\\x09-\\x0D]++){', words, '}+'), 0)")
-    cut = F.when(F.col("words") < F.col("size"), head).otherwise(F.col(f"row.{text}"))
+    cut = F.when(F.col("words") < F.col("size"), head).otherwise(F.col(f"row.`{text}`"))
     out = copies.withColumn("cut", cut).orderBy("position", "doc_id", "copy")
     fields = []
     for c in docs.columns:
@@ -149,8 +158,11 @@ def mix(docs: DataFrame, text: str = "text", weights: Sequence[float] = WEIGHTS,
 
 
 def mixture_digest(docs: DataFrame) -> DataFrame:
-    """Per document what the mix takes of it: ``doc_id, size, source_size, target, taken, first_position``, in training order."""
-    rows = docs.select("doc_id", "source", word_count(F.col("text")).alias("size"))
+    """Per document what the mix takes of it: ``doc_id, size, source_size, target, taken, first_position``, in training order.
+
+    Nulls, ties, repeated rows and empty tables are as in ``assign``.
+    """
+    rows = materialize(docs.select("doc_id", "source", word_count(F.col("text")).alias("size")), "sizes")
     placed = assign(rows)
     taken = sum((taken_words(e) for e in range(1, CAP)), taken_words(0))
     out = placed.select("doc_id", "size", F.col("source_size").cast("long"), "target", taken.alias("taken"), position(0).alias("first_position"))
