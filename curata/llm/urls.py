@@ -1,16 +1,24 @@
-"""URL filter: host rules first, gradient-boosted trees on lexical features for the rest."""
+"""URL filter: host rules first, gradient-boosted trees on lexical features for the rest.
+
+The URLs that a rule decides are the labelled ones.  Features are built-in
+functions of a URL's text and block rates of what it shares with others: its
+suffix and the first segment of its path.  A labelled URL gets the rates of the
+folds it is not in, and some get none at all, so that the trees also learn what
+to do with a suffix that no labelled URL has.
+"""
 
 from __future__ import annotations
 
-from collections import Counter
 from collections.abc import Iterator, Sequence
 from dataclasses import dataclass
 
 import numpy as np
-import pandas as pd
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from curata.llm.common import tidy
+
 #: (verdict, host, path); a rule holds for its host and all subdomains.
 RULES = (
     ("allow", "com", "/"),
@@ -19,10 +27,14 @@ RULES = (
     ("block", "net", "/es/"),
     ("block", "net", "/fr/"),
 )
-#: Labelled URLs that the trees are fitted on, at most; the suffix statistics cover all of them.
+#: Labelled URLs that the trees are fitted on, about (a hash chooses); the statistics cover all of them.
 TRAIN_ROWS = 20_000
-#: Suffixes up to which their statistics are broadcast; a row has under 300 bytes, as host names do.
-BROADCAST_SUFFIXES = 50_000
+#: Keys up to which their statistics are broadcast, and the letters of a key.
+BROADCAST_KEYS, KEY_LENGTH = 20_000, 64
+#: Folds of the labelled URLs, and one in how many trains as if nothing were known of its keys.
+FOLDS, UNSEEN = 5, 6
+#: Labelled URLs at the overall rate that a key's own rate is drawn towards.
+DRAWN = 10.0
 UPPER, LOWER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz"
 
 
@@ -50,41 +62,43 @@ def with_rules(pages: DataFrame, rules: Sequence[tuple[str, str, str]] = RULES)
 
 
 def suffix_of(host: Column) -> Column:
-    """The last two labels of a host."""
-    return F.substring_index(host, ".", -2)
-
-
-FEATURES = ("length", "host_length", "path_length", "depth", "labels", "digit_ratio", "longest_digits", "entropy", "parameters", "query_length", "hyphens", "suffix_rate", "suffix_seen")
-
-
-def features(url: pd.Series, host: pd.Series, path: pd.Series, rate: pd.Series, seen: pd.Series) -> np.ndarray:
-    """A row of ``FEATURES`` per URL; a null URL counts as empty."""
-    out = np.zeros((len(url), len(FEATURES)), np.float64)
-    for k, (u, h, p) in enumerate(zip(url.fillna(""), host, path)):
-        n = len(u)
-        counts = np.fromiter(Counter(u).values(), np.float64) / max(n, 1)
-        query = u.partition("#")[0].partition("?")[2]
-        digits = sum(map(str.isdigit, u))
-        longest = run = 0
-        for c in u:
-            run = run + 1 if c.isdigit() else 0
-            longest = max(longest, run)
-        out[k, :11] = (
-            n,
-            len(h),
-            len(p),
-            p.count("/"),
-            h.count(".") + 1 if h else 0,
-            digits / max(n, 1),
-            longest,
-            float(-(counts * np.log2(counts)).sum()) if n else 0.0,
-            query.count("&") + 1 if query else 0,
-            len(query),
-            u.count("-"),
-        )
-    out[:, 11] = rate.to_numpy(np.float64)
-    out[:, 12] = np.log1p(seen.to_numpy(np.float64))
-    return out
+    """The last two labels of a host, or what fits into ``KEY_LENGTH`` letters of them."""
+    return F.left(F.substring_index(host, ".", -2), F.lit(KEY_LENGTH))
+
+
+def segment_of(path: Column) -> Column:
+    """The first segment of a path."""
+    return F.left(F.regexp_extract(path, "^/+([^/]*)", 1), F.lit(KEY_LENGTH))
+
+
+LEXICAL = ("length", "host_length", "path_length", "depth", "labels", "digit_ratio", "longest_digits", "entropy", "parameters", "query_length", "hyphens")
+KEYS = {"suffix": suffix_of, "segment": segment_of}
+FEATURES = (*LEXICAL, *(f"{k}_{x}" for k in KEYS for x in ("rate", "seen")))
+
+
+def lexical(url: Column, host: Column, path: Column) -> Column:
+    """``LEXICAL`` as an array of doubles; a null URL counts as empty."""
+    u = F.coalesce(url, F.lit(""))
+    n = F.length(u)
+    query = F.regexp_extract(u, r"(?s)^[^?#]*\?([^#]*)", 1)
+    many = lambda text, c: F.length(text) - F.length(F.replace(text, F.lit(c), F.lit("")))
+    # a letter at a time: the share of each that occurs
+    letters = F.filter(F.array_distinct(F.split(u, "")), lambda c: c != "")
+    shares = F.transform(letters, lambda c: (n - F.length(F.replace(u, c, F.lit("")))) / n)
+    values = (
+        n,
+        F.length(host),
+        F.length(path),
+        many(path, "/"),
+        F.when(host != "", many(host, ".") + 1).otherwise(0),
+        F.when(n > 0, F.length(F.regexp_replace(u, "[^0-9]", "")) / n).otherwise(0),
+        F.array_max(F.transform(F.split(u, "[^0-9]+"), F.length)),
+        F.aggregate(shares, F.lit(0.0), lambda total, p: total - p * F.log2(p)),
+        F.when(query != "", many(query, "&") + 1).otherwise(0),
+        F.length(query),
+        many(u, "-"),
+    )
+    return F.array(*[F.coalesce(v.cast("double"), F.lit(0.0)) for v in values])
 
 
 @dataclass
@@ -98,8 +112,12 @@ class BoostedTrees:
     penalty: float = 1.0
 
     def fit(self, x: np.ndarray, y: np.ndarray) -> BoostedTrees:
+        """Both classes weigh the same in all, whatever their numbers."""
         n, width = x.shape
         share = np.clip(y.mean(), 1e-3, 1 - 1e-3) if n else 0.5
+        weight = np.ones(n)
+        if n and y.min() < y.max():
+            weight, share = np.where(y > 0, 0.5 / y.mean(), 0.5 / (1 - y.mean())), 0.5
         self.base = float(np.log(share / (1 - share)))
         self.model: list[tuple[np.ndarray, np.ndarray, np.ndarray]] = []
         if not n or y.min() == y.max():
@@ -109,7 +127,7 @@ class BoostedTrees:
         score = np.full(n, self.base)
         for _ in range(self.trees):
             p = 1 / (1 + np.exp(-score))
-            g, h = y - p, p * (1 - p)
+            g, h = weight * (y - p), weight * p * (1 - p)
             node = np.zeros(n, np.int64)
             split_f = np.full(2**self.depth - 1, -1)
             split_t = np.full(2**self.depth - 1, np.inf)
@@ -154,40 +172,83 @@ class BoostedTrees:
         return 1 / (1 + np.exp(-score))
 
 
+@dataclass
+class Fitted:
+    """Trees, and per kind of key the counts they go with: ``key``, ``seen`` and ``blocked`` of each fold."""
+
+    trees: BoostedTrees
+    overall: float
+    stats: dict[str, tuple[DataFrame, bool]]
+
+
+def _labelled(pages: DataFrame, rules: Sequence[tuple[str, str, str]]) -> DataFrame:
+    rows = with_rules(pages, rules)
+    place = F.pmod(F.xxhash64("page_id", "url"), F.lit(1 << 30))
+    return rows.withColumns({k: of(F.col("host" if k == "suffix" else "path")) for k, of in KEYS.items()} | {"place": place, "fold": (place % FOLDS).cast("int")})
+
+
+def _with_rates(rows: DataFrame, fitted_stats: dict[str, tuple[DataFrame, bool]], overall: float, out_of_fold: bool) -> DataFrame:
+    """``x``: the features of every row; out of fold, without what the row's own fold counts, and for some rows nothing."""
+    parts = [lexical(F.col("url"), F.col("host"), F.col("path"))]
+    for kind, (stats, small) in fitted_stats.items():
+        named = stats.select(F.col("key").alias(kind), F.col("seen").alias(f"{kind}_n"), F.col("blocked").alias(f"{kind}_b"))
+        rows = rows.join(F.broadcast(named) if small else named, kind, "left")
+        whole = lambda c: F.aggregate(F.col(c), F.lit(0).cast("long"), lambda total, v: total + v)
+        n, b = F.coalesce(whole(f"{kind}_n"), F.lit(0)), F.coalesce(whole(f"{kind}_b"), F.lit(0))
+        if out_of_fold:
+            known = F.pmod(F.xxhash64("place"), F.lit(UNSEEN)) != 0
+            n, b = (F.when(known, v - F.coalesce(F.get(f"{kind}_{c}", "fold"), F.lit(0))).otherwise(0) for v, c in ((n, "n"), (b, "b")))
+        parts.append(F.array((b + DRAWN * overall) / (n + DRAWN), F.log1p(n.cast("double"))))
+    return rows.withColumn("x", F.concat(*parts))
+
+
+def fit(pages: DataFrame, rules: Sequence[tuple[str, str, str]] = RULES, train_rows: int = TRAIN_ROWS) -> Fitted:
+    """Trees on about ``train_rows`` URLs that rules decide, and the block rates of suffixes and segments over all of those."""
+    rows = _labelled(pages, rules).where("ruled is not null").withColumn("blocks", (F.col("ruled") == "block").cast("long"))
+    total = rows.agg(F.count("*"), F.sum("blocks"), *[F.approx_count_distinct(k) for k in KEYS]).first()
+    overall = float(total[1] or 0) / total[0] if total[0] else 0.5
+    stats = {}
+    for i, kind in enumerate(KEYS):
+        per = lambda c: F.array(*[F.sum(F.when(F.col("fold") == f, c).otherwise(0)) for f in range(FOLDS)])
+        one = rows.groupBy(F.col(kind).alias("key")).agg(per(F.lit(1)).alias("seen"), per(F.col("blocks")).alias("blocked"))
+        stats[kind] = (one, 2 * total[2 + i] <= BROADCAST_KEYS)  # twice the estimate: its error is 5 %
+    share = min(1.0, train_rows / max(total[0], 1))
+    sample = _with_rates(rows.where(F.col("place") < int(share * (1 << 30))), stats, overall, True)
+    got = sample.select("x", "blocks").orderBy("blocks", "x").collect()
+    x = np.array([r[0] for r in got], np.float64).reshape(len(got), len(FEATURES))
+    trees = BoostedTrees().fit(x, np.array([r[1] for r in got], np.float64))
+    if not got:
+        trees.base = -1.0
+    return Fitted(trees, overall, stats)
+
+
+def score(rows: DataFrame, fitted: Fitted) -> DataFrame:
+    """``page_id, host, path, rule, verdict, block_score`` of rows of ``_labelled`` as the trees judge them, rules or not."""
+    trees = fitted.trees
+
+    @tidy
+    def judge(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for b in batches:
+            x = b.column("x")
+            p = trees.probability(np.asarray(x.flatten(), np.float64).reshape(len(x), len(FEATURES)))
+            verdict = pa.array(np.where(p >= 0.5, "block", "allow"), pa.string())
+            yield pa.RecordBatch.from_arrays([*(b.column(c) for c in ("page_id", "host", "path", "rule")), verdict, pa.array(p)], ["page_id", "host", "path", "rule", "verdict", "block_score"])
+
+    slim = _with_rates(rows, fitted.stats, fitted.overall, False).select(F.col("page_id").cast("long").alias("page_id"), "host", "path", "rule", "x")
+    return slim.mapInArrow(judge, "page_id long, host string, path string, rule string, verdict string, block_score double")
+
+
 def filter_urls(pages: DataFrame, rules: Sequence[tuple[str, str, str]] = RULES, train_rows: int = TRAIN_ROWS) -> DataFrame:
     """``page_id, host, path, rule, verdict, block_score`` for every row of ``pages``.
 
-    A rule decides the URLs that it fits.  Those are also the labelled URLs:
-    trees are fitted on up to ``train_rows`` of them (in hash order) and block
-    what no rule fits at a probability of 0.5 or more.  Block rates by suffix
-    (last two labels of the host) are counts over all labelled URLs, drawn
-    towards the overall rate.  Without labelled URLs everything else is
-    allowed.  Null, empty and repeated URLs are ordinary rows; other columns
-    are ignored.
+    A rule decides the URLs that it fits (score null); the trees judge the
+    others and block at a score of 0.5 or more, where both verdicts of the
+    rules weigh the same.  Where no rule decides any URL, all are allowed; where
+    all rules that do agree, so do the trees.  Null, empty, very long and
+    repeated URLs and null ids are ordinary rows, each judged by itself; other
+    columns are ignored; an empty table gives no rows.
     """
-    rows = with_rules(pages, rules).withColumn("suffix", suffix_of(F.col("host")))
-    blocked = F.count_if(F.col("ruled") == "block")
-    stats = rows.where("ruled is not null").groupBy("suffix").agg(F.count("*").alias("seen"), blocked.alias("blocked"))
-    total = stats.agg(F.count("*"), F.sum("seen"), F.sum("blocked")).first()
-    overall = (total[2] or 0) / total[1] if total[1] else 0.0
-    stats = stats.select("suffix", F.col("seen").alias("n"), ((F.col("blocked") + 10.0 * overall) / (F.col("seen") + 10.0)).alias("r"))
-    if total[0] <= BROADCAST_SUFFIXES:
-        stats = F.broadcast(stats)
-    rows = rows.join(stats, "suffix", "left").withColumns({"n": F.coalesce("n", F.lit(0)), "r": F.coalesce("r", F.lit(float(overall)))})
-    labelled = rows.where("ruled is not null").select("url", "host", "path", "r", "n", "ruled", F.xxhash64("page_id", "url").alias("h"))
-    sample = labelled.orderBy("h", "url").limit(train_rows).toPandas()
-    model = BoostedTrees()
-    if len(sample):
-        model.fit(features(sample.url, sample.host, sample.path, sample.r, sample.n), (sample.ruled == "block").to_numpy(np.float64))
-    else:
-        model.fit(np.zeros((0, len(FEATURES))), np.zeros(0))
-        model.base = -1.0
-
-    def judge(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        for b in batches:
-            p = model.probability(features(b.url, b.host, b.path, b.r, b.n))
-            verdict = b.ruled.where(b.ruled.notna(), np.where(p >= 0.5, "block", "allow"))
-            yield pd.DataFrame({"page_id": b.page_id.astype("Int64"), "host": b.host, "path": b.path, "rule": b.rule, "verdict": verdict, "block_score": p})
-
-    slim = rows.select(F.col("page_id").cast("long").alias("page_id"), "url", "host", "path", "rule", "ruled", "r", "n")
-    return slim.mapInPandas(judge, "page_id long, host string, path string, rule string, verdict string, block_score double")
+    rows = _labelled(pages, rules)
+    columns = [F.col("page_id").cast("long").alias("page_id"), "host", "path", "rule"]
+    ruled = rows.where("ruled is not null").select(*columns, F.col("ruled").alias("verdict"), F.lit(None).cast("double").alias("block_score"))
+    return ruled.unionByName(score(rows.where("ruled is null"), fit(pages, rules, train_rows)))
