@@ -17,17 +17,19 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
-from curata.llm.common import blob
+from curata.llm.common import blob, tidy
 from curata.llm.vectors import matrix, usable
 from curata.storage import materialize
 
-#: Vectors that the codebooks are fitted on, at most, in hash order.
+#: Vectors of each dimension that the codebooks are fitted on, at most; a hash of the id chooses.
 TRAIN_ROWS = 4096
 BOOKS, WORDS, BEAM = 16, 256, 8
 #: Rows of an index block, queries of a query block.
 BLOCK_ROWS, QUERY_ROWS = 4096, 512
 #: Rows of a block that are reranked for each query.
-RERANK = 512
+RERANK = 96
+#: Bytes of codebooks up to which they are broadcast.
+BROADCAST_BYTES = 64 << 20
 
 
 def _nearest(x: np.ndarray, words: np.ndarray) -> np.ndarray:
@@ -71,6 +73,10 @@ def encode(x: np.ndarray, books: np.ndarray, beam: int = BEAM) -> tuple[np.ndarr
     return codes[:, 0].astype(np.uint8 if k <= 256 else np.uint16), x - rest[:, 0]
 
 
+def _books(data: bytes, dim: int) -> np.ndarray:
+    return np.frombuffer(data).reshape(BOOKS, -1, dim)
+
+
 def search_block(queries: np.ndarray, ids: np.ndarray, own: np.ndarray, vectors: np.ndarray, codes: np.ndarray, ratio: np.ndarray, books: np.ndarray, k: int, rerank: int) -> Iterator[tuple[int, np.ndarray, np.ndarray]]:
     """For each query number: the ``k`` best rows of a block (sorted by id) but its own, with exact inner products."""
     n = len(ids)
@@ -105,60 +111,64 @@ def search(vectors: DataFrame, k: int = 20, every: int = 20, column: str = "embe
     empty table gives no rows.
 
     Rows lie in blocks of about ``block_rows``, queries in blocks of
-    ``QUERY_ROWS``; each task scores pairs of blocks, and the best ``k`` of
-    every pair are merged.  Only the codebooks (bounded by their parameters)
-    are sent to all tasks.
+    ``QUERY_ROWS``; each task scores pairs of blocks by lookup tables, reranks
+    ``rerank`` rows of the block exactly, and the best ``k`` of every pair are
+    merged.
     """
     base = vectors.where(usable(column) & F.col("vec_id").isNotNull())
     base = base.select(F.col("vec_id").cast("long").alias("vec_id"), F.col(column).cast("array<double>").alias("v")).distinct()
     base = base.withColumn("dim", F.size("v"))
-    sizes = {r[0]: r[1] for r in base.groupBy("dim").count().collect()}
-    spark = vectors.sparkSession
-    schema = "query_id long, rank int, vec_id long, score double"
-    if not sizes:
-        return spark.createDataFrame([], schema)
-    books: dict[int, np.ndarray] = {}
-    for dim in sizes:
-        sample = base.where(F.col("dim") == dim).orderBy(F.xxhash64("vec_id"), "vec_id").limit(TRAIN_ROWS).select("v").collect()
-        books[dim] = fit_books(np.array([r[0] for r in sample]))
-
-    def shards(count: dict[int, int], each: int):
-        parts = F.element_at(F.create_map(*[F.lit(x) for d, n in count.items() for x in (d, -(-n // each))]), F.col("dim"))
-        return F.pmod(F.xxhash64("vec_id"), parts).cast("int")
-
-    def index(key: tuple, pdf: pd.DataFrame) -> pd.DataFrame:
-        pdf = pdf.sort_values("vec_id")
-        x = np.stack(pdf.v.to_numpy())
-        codes, made = encode(x, books[int(key[0])])
-        ratio = np.linalg.norm(x, axis=1) / np.maximum(np.linalg.norm(made, axis=1), 1e-300)
-        ratio = np.clip(ratio, 0.5, 2.0)
-        return pd.DataFrame({"dim": [int(key[0])], "block": [int(key[1])], "n": [len(x)], "ids": [blob(pdf.vec_id.to_numpy(np.int64))], "x": [blob(x)], "codes": [blob(codes)], "ratio": [blob(ratio)]})
+    is_query = F.pmod("vec_id", F.lit(every)) == 0
+    per_dim = base.groupBy("dim").agg(F.count("*").alias("n"), F.count_if(is_query).alias("q"))
+    rows, asking, book_bytes = per_dim.agg(F.sum("n"), F.sum("q"), F.sum(F.col("dim") * 8 * BOOKS * WORDS)).first()
+    if not rows or not asking:
+        return vectors.sparkSession.createDataFrame([], "query_id long, rank int, vec_id long, score double")
+    blocks_all, asks_all = -(-rows // block_rows), -(-asking // QUERY_ROWS)
+    place = F.xxhash64("vec_id")
+
+    def fit(key: tuple, pdf: pd.DataFrame) -> pd.DataFrame:
+        found = fit_books(np.stack(pdf.sort_values("slot").v.to_numpy()))
+        return pd.DataFrame({"dim": [int(key[0])], "books": [blob(found)]})
+
+    # one row of each of TRAIN_ROWS slots, so that no more meet in a task
+    sample = base.groupBy("dim", F.pmod(place, F.lit(TRAIN_ROWS)).alias("slot")).agg(F.min_by("v", F.struct(place, "vec_id")).alias("v"))
+    books = materialize(sample.groupBy("dim").applyInPandas(fit, "dim int, books binary"), "books")
+    if book_bytes <= BROADCAST_BYTES:
+        books = F.broadcast(books)
 
     def gather(key: tuple, pdf: pd.DataFrame) -> pd.DataFrame:
-        x = np.stack(pdf.v.to_numpy())
-        return pd.DataFrame({"dim": [int(key[0])], "qblock": [int(key[1])], "qn": [len(x)], "qids": [blob(pdf.vec_id.to_numpy(np.int64))], "qx": [blob(x)]})
-
-    placed = base.withColumn("block", shards(sizes, block_rows))
-    blocks = placed.groupBy("dim", "block").applyInPandas(index, "dim int, block int, n int, ids binary, x binary, codes binary, ratio binary")
-    asked = base.where(F.pmod("vec_id", F.lit(every)) == 0)
-    counts = {r[0]: r[1] for r in asked.groupBy("dim").count().collect()}
-    if not counts:
-        return spark.createDataFrame([], schema)
-    ask = asked.withColumn("qblock", shards(counts, QUERY_ROWS)).groupBy("dim", "qblock").applyInPandas(gather, "dim int, qblock int, qn int, qids binary, qx binary")
-    spread = F.element_at(F.create_map(*[F.lit(x) for d, n in sizes.items() for x in (d, -(-n // block_rows))]), F.col("dim"))
-    ask = ask.withColumn("block", F.explode(F.sequence(F.lit(0), spread - 1)))
+        pdf = pdf.sort_values("vec_id")
+        return pd.DataFrame({"dim": [int(key[0])], "block": [int(key[1])], "n": [len(pdf)], "ids": [blob(pdf.vec_id.to_numpy(np.int64))], "x": [blob(np.stack(pdf.v.to_numpy()))]})
+
+    def gathered(df: DataFrame, many: int) -> DataFrame:
+        placed = df.withColumn("block", F.pmod(place, F.lit(many)).cast("int"))
+        return placed.groupBy("dim", "block").applyInPandas(gather, "dim int, block int, n int, ids binary, x binary")
+
+    @tidy
+    def index(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        for b in batches:
+            for r in b.itertuples():
+                x = matrix(r.x, r.n)
+                codes, made = encode(x, _books(r.books, r.dim))
+                ratio = np.linalg.norm(x, axis=1) / np.maximum(np.linalg.norm(made, axis=1), 1e-300)
+                yield pd.DataFrame({"dim": [r.dim], "block": [r.block], "n": [r.n], "ids": [r.ids], "x": [r.x], "codes": [blob(codes)], "ratio": [blob(np.clip(ratio, 0.5, 2.0))]})
+
+    blocks = gathered(base, blocks_all).join(books, "dim").mapInPandas(index, "dim int, block int, n int, ids binary, x binary, codes binary, ratio binary")
+    ask = gathered(base.where(is_query), asks_all).select("dim", F.col("n").alias("qn"), F.col("ids").alias("qids"), F.col("x").alias("qx"))
+    ask = ask.withColumn("block", F.explode(F.sequence(F.lit(0), F.lit(blocks_all - 1))))
 
+    @tidy
     def pairs(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for b in batches:
             for r in b.itertuples():
                 ids, own = np.frombuffer(r.ids, np.int64), np.frombuffer(r.qids, np.int64)
                 codes = matrix(r.codes, r.n, np.uint8)
-                found = search_block(matrix(r.qx, r.qn), ids, own, matrix(r.x, r.n), codes, np.frombuffer(r.ratio), books[r.dim], k, rerank)
+                found = search_block(matrix(r.qx, r.qn), ids, own, matrix(r.x, r.n), codes, np.frombuffer(r.ratio), _books(r.books, r.dim), k, rerank)
                 parts = [(np.full(len(i), own[q]), i, s) for q, i, s in found]
                 if parts:
                     yield pd.DataFrame({"query_id": np.concatenate([p[0] for p in parts]), "vec_id": np.concatenate([p[1] for p in parts]), "score": np.concatenate([p[2] for p in parts])})
 
-    joined = ask.join(materialize(blocks, "ann"), ["dim", "block"])
+    joined = ask.join(materialize(blocks, "ann"), ["dim", "block"]).join(books, "dim")
     found = joined.mapInPandas(pairs, "query_id long, vec_id long, score double")
     found = found.groupBy("query_id", "vec_id").agg(F.max("score").alias("score"))
     order = Window.partitionBy("query_id").orderBy(F.desc("score"), "vec_id")
