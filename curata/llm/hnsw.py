@@ -16,7 +16,7 @@ import pandas as pd
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from curata.llm.common import blob
+from curata.llm.common import blob, tidy
 from curata.llm.vectors import matrix, usable
 from curata.operators.graph import connected_components
 from curata.storage import materialize
@@ -292,8 +292,10 @@ def near_duplicate_vectors(vectors: DataFrame, threshold: float = 0.98, column:
 
     fields = f"label {kind}, dim int, shard int, n int, rep binary, many binary, unit binary, near array<binary>, entry int"
     index = materialize(dealt.groupBy("label", "dim", "shard").applyInPandas(build, fields), "hnsw")
+    numbers = index.select("label", "dim", "shard")
+    shard_pairs = numbers.join(numbers.withColumnRenamed("shard", "q_shard"), ["label", "dim"])  # numbers only
     asked = index.select("label", "dim", F.col("shard").alias("q_shard"), F.col("n").alias("q_n"), F.col("rep").alias("q_rep"), F.col("unit").alias("q_unit"))
-    pairs = index.join(asked, ["label", "dim"]).repartition(F.xxhash64("label", "dim", "shard", "q_shard"))
+    pairs = shard_pairs.join(index, ["label", "dim", "shard"]).join(asked, ["label", "dim", "q_shard"])
 
     def query(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for b in batches:
@@ -313,7 +315,7 @@ def near_duplicate_vectors(vectors: DataFrame, threshold: float = 0.98, column:
                 out.append(pd.DataFrame({"node": names[moved], "links": 0, "root": root[moved]}))
                 yield pd.concat(out)
 
-    found = materialize(pairs.mapInPandas(query, "node long, links long, root long"), "links")
+    found = materialize(pairs.mapInPandas(tidy(query), "node long, links long, root long"), "links")
     comps = connected_components(found.where("node != root"), "node", "root")
     links = found.groupBy("node").agg(F.sum("links").alias("others"))
     per = nodes.select("label", "v", "rep", "many").join(links, F.col("rep") == F.col("node"), "left").drop("node")
