@@ -11,9 +11,10 @@ words, so the probabilities of all words sum to one.
 Words and words in their contexts are counted over all training documents, so
 the model grows with them.  Blocks of documents ask buckets of words and of
 contexts for their counts; no vocabulary is gathered in one place.
-The softmax is trained by distributed gradient updates: each task walks over
-its blocks from common weights, and the moves are averaged by how often each
-feature was touched.
+The softmax is trained by distributed gradient updates: every block is walked
+over from common weights, and the moves are averaged by how often each feature
+was touched.  A hash deals documents into blocks, where they are sorted, so the
+model depends on the documents alone and not on how the table is partitioned.
 """
 
 from __future__ import annotations
@@ -28,7 +29,7 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from curata.llm.common import as_bytes, chunks, id_bucket
+from curata.llm.common import as_bytes, id_bucket, tidy, tidy_group
 from curata.storage import materialize
 
 CLASSES = 32
@@ -40,6 +41,10 @@ BLOCK_BYTES = 8 << 20
 PRIOR = 2.0
 #: Low bits of a counted key that tell the words of a context and class apart; the others are the slot of those two.
 WORD_BITS = np.uint64(24)
+#: Contexts in which words are counted, mixed in this order: 0 the word two before, 1 the word before, 2 both.
+GRAMS = (1,)
+#: Blocks of documents that a bucket of counts stands for.
+BUCKET_BLOCKS = 3
 #: Tokens of a gradient step, and the step size.
 STEP, RATE = 8192, 0.3
 #: Passes over the training documents.
@@ -66,16 +71,6 @@ def word_code(word: bytes) -> int:
 END = (xxhash.xxh3_64_intdigest(b" ") & ~(CLASSES - 1)) | (CLASSES - 1)
 
 
-class _Codes(dict):
-    MOST = 300_000
-
-    def __missing__(self, word: bytes) -> int:
-        code = word_code(word)
-        if len(self) < self.MOST:
-            self[word] = code
-        return code
-
-
 def _scramble(x: np.ndarray) -> np.ndarray:
     x = (x ^ (x >> np.uint64(32))) * np.uint64(0xD6E8FEB86659FD93)
     return x ^ (x >> np.uint64(32))
@@ -132,7 +127,7 @@ def train_on(weights: np.ndarray, square: np.ndarray, touched: np.ndarray, featu
         miss = -np.exp(class_log(weights, f))
         miss[np.arange(len(c)), c] += 1
         for k in range(FEATURES):
-            order = np.argsort(f[:, k], kind="stable")
+            order = np.argsort((f[:, k] - k * SLOTS).astype(np.uint16), kind="stable")  # 16 bits are sorted by radix
             own = f[order, k]
             starts = np.flatnonzero(np.append(True, own[1:] != own[:-1]))
             rows = own[starts]
@@ -148,32 +143,33 @@ def train_on(weights: np.ndarray, square: np.ndarray, touched: np.ndarray, featu
 
 def _blocks(docs: DataFrame, text: str, folds: int, held: int) -> DataFrame:
     """Tokenised blocks of documents: ids, token numbers into the block's distinct codes, and training counts of those."""
-
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        cache = _Codes()
-        number = TaskContext.get().partitionId() << 32
-        for batch in chunks(batches, "b", BLOCK_BYTES):
-            lists = [t.lower().split() for t in batch.column("b").to_pylist()]
-            sizes = np.array([len(w) + 1 for w in lists], np.int64)
-            codes = np.empty(int(sizes.sum()), np.uint64)
-            ends = np.cumsum(sizes) - 1
-            words = np.ones(len(codes), bool)
-            words[ends] = False
-            codes[words] = np.fromiter(map(cache.__getitem__, [w for ws in lists for w in ws]), np.uint64, int(words.sum()))
-            codes[ends] = END
-            distinct, inverse = np.unique(codes, return_inverse=True)
-            out = batch.column("held").to_numpy(zero_copy_only=False).astype(bool)
-            counts = np.bincount(inverse[np.repeat(~out, sizes)], minlength=len(distinct))
-            ids = batch.column("id")
-            values = [number, _pack(sizes), _pack(out), _pack(distinct), _pack(counts.astype(np.int64)), _pack(inverse.astype(np.int32))]
-            kinds = [pa.int64(), *[pa.binary()] * 5]
-            columns = [pa.array([v], k) for v, k in zip(values, kinds)]
-            columns.append(pa.ListArray.from_arrays(pa.array([0, len(ids)], pa.int32()), ids))
-            number += 1
-            yield pa.RecordBatch.from_arrays(columns, ["block", "sizes", "held", "codes", "counts", "tokens", "ids"])
-
+    spark = docs.sparkSession
     slim = docs.select(F.col("doc_id").cast("long").alias("id"), as_bytes(text).alias("b"), (id_bucket("doc_id", folds) == held).alias("held"))
-    return slim.mapInArrow(run, "block long, sizes binary, held binary, codes binary, counts binary, tokens binary, ids array<long>")
+    total = docs.agg(F.sum(F.octet_length(F.col(f"`{text}`")))).first()[0] or 0
+    many = max(1, -(-total // BLOCK_BYTES))
+
+    def run(table: pa.Table) -> pa.Table:
+        table = table.sort_by([("id", "ascending"), ("b", "ascending")])
+        lists = [t.lower().split() for t in table.column("b").to_pylist()]
+        sizes = np.array([len(w) + 1 for w in lists], np.int64)
+        number: dict[bytes, int] = {}
+        local = np.fromiter((number.setdefault(w, len(number)) for ws in lists for w in (*ws, b" ")), np.int32, int(sizes.sum()))
+        del lists
+        codes = np.fromiter((END if w == b" " else word_code(w) for w in number), np.uint64, len(number))
+        distinct, where = np.unique(codes, return_inverse=True)
+        tokens = where.astype(np.int32)[local]
+        out = table.column("held").to_numpy().astype(bool)
+        counts = np.bincount(tokens[np.repeat(~out, sizes)], minlength=len(distinct))
+        values = [table.column("block")[0].as_py(), _pack(sizes), _pack(out), _pack(distinct), _pack(counts.astype(np.int64)), _pack(tokens)]
+        kinds = [pa.int64(), *[pa.binary()] * 5]
+        columns = [pa.array([v], k) for v, k in zip(values, kinds)]
+        columns.append(pa.array([table.column("id").to_pylist()], pa.list_(pa.int64())))
+        return pa.table(columns, ["block", "sizes", "held", "codes", "counts", "tokens", "ids"])
+
+    dealt = slim.withColumn("block", F.pmod(F.xxhash64("id", "b"), F.lit(many)))
+    parts = max(int(spark.conf.get("spark.sql.shuffle.partitions")), many // 4)
+    dealt = dealt.repartition(parts, "block")
+    return dealt.groupBy("block").applyInArrow(tidy_group(run), "block long, sizes binary, held binary, codes binary, counts binary, tokens binary, ids array<long>")
 
 
 def _counted(blocks: DataFrame, parts: int) -> tuple[DataFrame, DataFrame]:
@@ -211,8 +207,8 @@ def _counted(blocks: DataFrame, parts: int) -> tuple[DataFrame, DataFrame]:
         bucket = table.column("bucket")[0].as_py()
         return pa.table({"bucket": pa.array([bucket] * len(blocks), pa.int32()), "block": pa.array(blocks, pa.int64()), "counts": pa.array(packed, pa.binary()), "stats": pa.array(stats, pa.list_(pa.int64()))})
 
-    asked = blocks.select("block", "codes", "counts").mapInArrow(ask, "bucket int, block long, codes binary, counts binary")
-    replies = materialize(asked.groupBy("bucket").applyInArrow(answer, "bucket int, block long, counts binary, stats array<long>"), "counts")
+    asked = blocks.select("block", "codes", "counts").mapInArrow(tidy(ask), "bucket int, block long, codes binary, counts binary")
+    replies = materialize(asked.groupBy("bucket").applyInArrow(tidy_group(answer), "bucket int, block long, counts binary, stats array<long>"), "counts")
     totals = replies.where("block is null").select(F.posexplode("stats")).groupBy("pos").agg(F.sum("col").alias("n"))
     return replies.where("block is not null").select("bucket", "block", "counts"), totals
 
@@ -225,12 +221,9 @@ def _counted_grams(blocks: DataFrame, parts: int) -> DataFrame:
             for block, *row in zip(*(batch.column(c).to_pylist() for c in ("block", "sizes", "held", "codes", "tokens"))):
                 sizes, out, codes, tokens = (_unpack(x, t) for x, t in zip(row, (np.int64, bool, np.uint64, np.int32)))
                 stream, train = codes[tokens], np.repeat(~out, sizes)
-                for k in range(FEATURES):
-                    keys = grams(stream, sizes, k)
-                    distinct = np.unique(keys)
-                    own, n = np.unique(keys[train], return_counts=True)
-                    counts = np.zeros(len(distinct), np.int64)
-                    counts[np.searchsorted(distinct, own)] = n
+                for k in GRAMS:
+                    distinct, which = np.unique(grams(stream, sizes, k), return_inverse=True)
+                    counts = np.bincount(which[train], minlength=len(distinct))
                     bucket, edges = _cuts(distinct, parts)
                     ends = list(zip(edges[:-1], edges[1:]))
                     for some in range(0, len(ends), 256):
@@ -256,8 +249,8 @@ def _counted_grams(blocks: DataFrame, parts: int) -> DataFrame:
         values = [pa.array([_pack(x[a]) for a in at], pa.binary()) for x in (total, slots)]
         return pa.table([table.column("bucket"), table.column("block"), *values], ["bucket", "block", "counts", "slots"])
 
-    asked = blocks.select("block", "sizes", "held", "codes", "tokens").mapInArrow(ask, "bucket int, block long, codes binary, counts binary")
-    return materialize(asked.groupBy("bucket").applyInArrow(answer, "bucket int, block long, counts binary, slots binary"), "grams", compression="none")
+    asked = blocks.select("block", "sizes", "held", "codes", "tokens").mapInArrow(tidy(ask), "bucket int, block long, codes binary, counts binary")
+    return materialize(asked.groupBy("bucket").applyInArrow(tidy_group(answer), "bucket int, block long, counts binary, slots binary"), "grams", compression="none")
 
 
 def _trained(blocks: DataFrame, rounds: int) -> np.ndarray:
@@ -268,22 +261,24 @@ def _trained(blocks: DataFrame, rounds: int) -> np.ndarray:
     for _ in range(rounds):
         sent = spark.sparkContext.broadcast(weights)  # FEATURES * SLOTS * CLASSES numbers, whatever the input
 
+        @tidy
         def walk(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             start = sent.value
-            own, square = start.copy(), np.full(start.shape, 1.0, np.float32)
-            touched = np.zeros(len(start), np.int64)
+            total, often = np.zeros(start.shape, np.float64), np.zeros(len(start), np.int64)
             for batch in batches:
                 for sizes, out, codes, tokens in zip(*(batch.column(c).to_pylist() for c in ("sizes", "held", "codes", "tokens"))):
                     sizes, out = _unpack(sizes, np.int64), _unpack(out, bool)
                     flat = _unpack(codes, np.uint64)[_unpack(tokens, np.int32)]
                     use = np.flatnonzero(np.repeat(~out, sizes))
-                    features = contexts(flat, sizes)[use]
-                    train_on(own, square, touched, features, (flat[use] & _LOW).astype(np.int64))
-            if touched.any():
-                move = ((own - start) * touched[:, None]).astype(np.float32)
+                    own, square, touched = start.copy(), np.full(start.shape, 1.0, np.float32), np.zeros(len(start), np.int64)
+                    train_on(own, square, touched, contexts(flat, sizes)[use], (flat[use] & _LOW).astype(np.int64))
+                    own -= start
+                    total += own * touched[:, None].astype(np.float64)
+                    often += touched
+            if often.any():
                 for k in range(pieces):
                     yield pa.RecordBatch.from_arrays(
-                        [pa.array([k], pa.int32()), pa.array([move[k::pieces].tobytes()], pa.binary()), pa.array([touched[k::pieces].tobytes()], pa.binary())],
+                        [pa.array([k], pa.int32()), pa.array([total[k::pieces].tobytes()], pa.binary()), pa.array([often[k::pieces].tobytes()], pa.binary())],
                         ["piece", "move", "touched"],
                     )
 
@@ -291,16 +286,16 @@ def _trained(blocks: DataFrame, rounds: int) -> np.ndarray:
             move = touched = None
             for batch in tables:
                 for m, t in zip(batch.column("move"), batch.column("touched")):
-                    m, t = np.frombuffer(m.as_buffer(), np.float32), np.frombuffer(t.as_buffer(), np.int64)
-                    move, touched = (m.astype(np.float64), t.copy()) if move is None else (move + m, touched + t)
-            yield pa.RecordBatch.from_arrays([pa.array([key[0].as_py()], pa.int32()), pa.array([move.astype(np.float32).tobytes()], pa.binary()), pa.array([touched.tobytes()], pa.binary())], ["piece", "move", "touched"])
+                    m, t = np.frombuffer(m.as_buffer()), np.frombuffer(t.as_buffer(), np.int64)
+                    move, touched = (m.copy(), t.copy()) if move is None else (move + m, touched + t)
+            yield pa.RecordBatch.from_arrays([pa.array([key[0].as_py()], pa.int32()), pa.array([move.tobytes()], pa.binary()), pa.array([touched.tobytes()], pa.binary())], ["piece", "move", "touched"])
 
         fields = "piece int, move binary, touched binary"
         moves = blocks.select("sizes", "held", "codes", "tokens").mapInArrow(walk, fields)
         moves = materialize(moves.groupBy("piece").applyInArrow(add, fields), "moves").collect()  # one row per piece of the weights
         for piece, move, touched in moves:
             t = np.frombuffer(touched, np.int64)[:, None]
-            weights[piece::pieces] += np.frombuffer(move, np.float32).reshape(-1, CLASSES) / np.maximum(t, 1)
+            weights[piece::pieces] += (np.frombuffer(move).reshape(-1, CLASSES) / np.maximum(t, 1)).astype(np.float32)
         sent.unpersist()
     return weights
 
@@ -319,7 +314,7 @@ def score_documents(docs: DataFrame, text: str = "text", folds: int = 7, held: i
     """
     spark = docs.sparkSession
     blocks = materialize(_blocks(docs, text, folds, held), "tokens", compression="none")
-    parts = max(int(spark.conf.get("spark.sql.shuffle.partitions")), blocks.count())
+    parts = max(int(spark.conf.get("spark.sql.shuffle.partitions")), -(-blocks.count() // BUCKET_BLOCKS))
     replies, totals = _counted(blocks, parts)
     replies = replies.withColumn("slots", F.lit(None).cast("binary")).unionByName(_counted_grams(blocks, parts))
     flat = np.zeros(2 * CLASSES, np.int64)
@@ -348,7 +343,7 @@ def score_documents(docs: DataFrame, text: str = "text", folds: int = 7, held: i
             inside = ((count + 1) / (words[kind] + distinct[kind] + 1))[tokens]
             stream = codes[tokens]
             features = contexts(stream, sizes)
-            for k in range(FEATURES):
+            for k in GRAMS:
                 keys, where = np.unique(grams(stream, sizes, k), return_inverse=True)
                 answers = [by_bucket[int(b) + parts * (1 + k)] for b in _cuts(keys, parts)[0]]
                 n, whole = (np.concatenate([_unpack(x[c], np.int64) for x in answers])[where] for c in (0, 1))
@@ -377,4 +372,4 @@ def score_documents(docs: DataFrame, text: str = "text", folds: int = 7, held: i
 
     slim = blocks.select("block", "sizes", "held", "codes", "tokens", "ids")
     schema = "doc_id long, held_out boolean, n_tokens long, n_known long, train_tokens long, base_score double, score double"
-    return slim.groupBy("block").cogroup(replies.groupBy("block")).applyInArrow(judge, schema)
+    return slim.groupBy("block").cogroup(replies.groupBy("block")).applyInArrow(tidy_group(judge), schema)
