@@ -6,6 +6,7 @@ from collections import Counter, defaultdict
 
 import numpy as np
 import pytest
+from pyspark.sql import functions as F
 
 from curata.llm import ann, hnsw, maxent, minhash, mixing, packing, suffixes, toxicity, urls, warc
 
@@ -242,13 +243,26 @@ def test_words_of_a_class_follow_their_contexts(docs):
         for i, w in enumerate(ws):
             c = kind(w)
             p = (words[w] + 1) / (size[c] + kinds[c] + 1)
-            for k in range(3):
+            for k in maxent.GRAMS:
                 h = history(ws, i, k)
                 p = (pairs[h, w] + maxent.PRIOR * p) / (slots[h, c] + maxent.PRIOR)
             total += np.log10(p / maxent.CLASSES)
         assert rows[key].score == pytest.approx(total, rel=1e-5)
 
 
+def test_scores_do_not_depend_on_partitions(spark):
+    rows = documents()
+    few, many = (spark.createDataFrame(r, DOCS).repartition(n) for r, n in ((rows, 1), (rows[::-1], 7)))
+    a, b = (sorted((r.doc_id, r.score) for r in maxent.score_documents(d).collect()) for d in (few, many))
+    assert [x[0] for x in a] == [x[0] for x in b] and [x[1] for x in a] == pytest.approx([x[1] for x in b], rel=1e-5)
+
+
+def test_held_out_texts_are_likelier_than_their_base(spark):
+    docs = spark.read.parquet("/root/testdata/sf0.01/documents.parquet")
+    r = maxent.score_documents(docs).where("held_out").agg(F.sum("score"), F.sum("base_score"), F.sum("n_tokens")).first()
+    assert (r[0] - r[1]) / r[2] > 0.05
+
+
 def test_class_probabilities_sum_to_one():
     rng = np.random.default_rng(0)
     weights = rng.normal(size=(maxent.FEATURES * maxent.SLOTS + 1, maxent.CLASSES)).astype(np.float32)
@@ -397,6 +411,39 @@ def test_nearest_match_brute_force(spark):
     assert ann.search(frame.limit(0)).count() == 0
 
 
+def test_quantiser_chooses_what_is_reranked(spark):
+    rng = np.random.default_rng(5)
+    x = rng.normal(size=(3000, 32)) + 2 * rng.normal(size=(40, 32))[rng.integers(0, 40, 3000)]
+    frame = spark.createDataFrame([(k, [float(v) for v in row], "x") for k, row in enumerate(x)], "vec_id long, embedding array<double>, dim string")
+    rows = ann.search(frame, k=20, every=60, rerank=64, block_rows=1500).collect()  # 4 % of a block is reranked
+    got = defaultdict(set)
+    for r in rows:
+        got[r.query_id].add(r.vec_id)
+        assert r.score == pytest.approx(float(x[r.query_id] @ x[r.vec_id]), rel=1e-12)
+    hits = 0
+    for q in range(0, 3000, 60):
+        score = x @ x[q]
+        score[q] = -np.inf
+        hits += len(got[q] & set(np.argsort(-score)[:20].tolist()))
+    assert len(rows) == 50 * 20 and hits >= 0.9 * 50 * 20
+    books = ann.fit_books(x[:500])
+    codes, _ = ann.encode(x, books)
+    few = [set(i.tolist()) for _, i, _ in ann.search_block(x[:20], np.arange(3000), np.full(20, -1), x, np.zeros_like(codes), np.ones(3000), books, 20, 64)]
+    assert sum(len(f & set(np.argsort(-(x @ x[q]))[:20].tolist())) for q, f in enumerate(few)) < 100  # without codes it finds nothing
+
+
+def test_links_across_shards_match_brute_force(spark):
+    rng = np.random.default_rng(6)
+    x = rng.normal(size=(500, 16))
+    x[300:400] = x[:100] + 0.03 * rng.normal(size=(100, 16))
+    frame = spark.createDataFrame([(k, [float(v) for v in row], k % 300 % 2, "x") for k, row in enumerate(x)], "vec_id long, embedding array<double>, label int, shard string")
+    found = {r.vec_id: r.n_links for r in hnsw.near_duplicate_vectors(frame, shard_rows=50).collect()}
+    unit = x / np.linalg.norm(x, axis=1, keepdims=True)
+    label = np.arange(500) % 300 % 2
+    near = (unit @ unit.T >= 0.98) & (label[:, None] == label)
+    assert found == {k: int(near[k].sum()) - 1 for k in range(500)} and near.sum() > 600
+
+
 def test_url_rules_and_trees(spark):
     rows = [(1, "http://Example.COM/en/a?b#c"), (2, "https://www.example.com/en/"), (3, "http://a.net/fr/x"), (4, "http://a.net/en/x"), (5, "x.com/en"), (6, None), (7, ""), (8, "http://com"), (9, "http://notexample.com/en/"), (9, "http://notexample.com/en/")]
     out = [(r.page_id, r.host, r.path, r.rule, r.verdict) for r in urls.filter_urls(spark.createDataFrame(rows, "page_id long, url string").selectExpr("*", "1 AS host")).collect()]
@@ -407,6 +454,41 @@ def test_url_rules_and_trees(spark):
     assert urls.filter_urls(spark.createDataFrame([], "page_id long, url string")).count() == 0
 
 
+def test_trees_judge_held_out_urls(spark):
+    pages = spark.read.parquet("/root/testdata/sf0.1/pages.parquet")
+    held = F.pmod(F.xxhash64("url"), F.lit(10)) < 3
+    fitted = urls.fit(pages.where(~held))
+    wanted = urls._labelled(pages.where(held), urls.RULES)
+    rows = urls.score(wanted, fitted).join(wanted.select("page_id", "ruled"), "page_id").select("verdict", "ruled").collect()
+    labelled = [r for r in rows if r.ruled]
+    majority = max(Counter(r.ruled for r in labelled).values()) / len(labelled)
+    assert sum(r.verdict == r.ruled for r in labelled) / len(labelled) > max(0.9, majority)
+    free = [r.verdict for r in rows if not r.ruled]
+    assert 0.1 < free.count("block") / len(free) < 0.9
+
+
+def test_url_parts_match_sql(spark):
+    import duckdb
+
+    found = {(r.page_id, r.host, r.path, r.rule) for r in urls.filter_urls(spark.read.parquet("/root/testdata/sf0.01/pages.parquet")).collect()}
+    sql = r"""WITH p AS (SELECT page_id, lower(regexp_extract(url, '^.*?://([^/?#]*)', 1)) AS h, regexp_extract(url, '^.*?://[^/?#]*([^?#]*)', 1) AS t
+        FROM '/root/testdata/sf0.01/pages.parquet')
+        SELECT page_id, h, t, CASE WHEN (h = 'www.example.com' OR h LIKE '%.www.example.com') AND t LIKE '/en/%' THEN 'www.example.com/en/'
+        WHEN (h = 'example.com' OR h LIKE '%.example.com') AND t LIKE '/en/%' THEN 'example.com/en/'
+        WHEN (h = 'net' OR h LIKE '%.net') AND t LIKE '/es/%' THEN 'net/es/' WHEN (h = 'net' OR h LIKE '%.net') AND t LIKE '/fr/%' THEN 'net/fr/'
+        WHEN (h = 'com' OR h LIKE '%.com') AND t LIKE '/%' THEN 'com/' END FROM p"""
+    assert found == set(duckdb.sql(sql).fetchall())
+
+
+def test_url_features(spark):
+    url = "https://a-b.example.com/x1/22/y?q=1&r=333#z9"
+    frame = spark.createDataFrame([(url,), (None,), ("z" * 200_000,)], "url string")
+    rows = [r[0] for r in frame.select(urls.lexical(F.col("url"), urls.host_of(F.col("url")), urls.path_of(F.col("url")))).collect()]
+    shares = np.array(list(Counter(url).values())) / len(url)
+    assert rows[0] == pytest.approx([len(url), 15, 8, 3, 3, 8 / len(url), 3, -(shares * np.log2(shares)).sum(), 2, 9, 1])
+    assert rows[1] == [0.0] * len(urls.LEXICAL) and rows[2][0] == 200_000 and rows[2][7] == 0
+
+
 def test_boosted_trees_learn():
     rng = np.random.default_rng(0)
     x = rng.normal(size=(800, 3))
