@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 
@@ -26,3 +26,34 @@ def seeded_rank(seed: int | str, key: Column) -> Column:
 def fingerprint(entries: Column) -> Column:
     """Digest of a group's entries in sorted order; for manifests of bounded size."""
     return F.sha2(F.array_join(F.array_sort(F.collect_list(entries)), ""), 256)
+
+
+def parse_hash(text: Column) -> Column:
+    """The 64 bits of ``ahash64:`` and 16 hexadecimal digits, as a signed number; null for anything else."""
+    digits = F.regexp_extract(text, "^ahash64:([0-9a-fA-F]{16})$", 1)
+    half = lambda at: F.conv(F.substr(digits, F.lit(at), F.lit(8)), 16, 10).try_cast("long")
+    return F.when(digits != "", F.shiftleft(half(1), 32).bitwiseOR(half(9)))
+
+
+def format_hash(value: Column) -> Column:
+    return F.concat(F.lit("ahash64:"), F.lower(F.lpad(F.hex(value), 16, "0")))
+
+
+def canonical_json(**fields: Column) -> Column:
+    """A JSON text without blanks whose keys are in order; null values are written."""
+    return F.to_json(F.struct(*[fields[k].alias(k) for k in sorted(fields)]), {"ignoreNullFields": "false"})
+
+
+def fingerprints(rows: DataFrame, group: str, number: str, entry: str, fan: int = 1000) -> DataFrame:
+    """``group, fingerprint, n``: a digest of a group's entries, as a tree of digests over ``fan`` numbers, then ``fan`` of those.
+
+    No task joins more than ``fan`` entries of evenly numbered rows, or the
+    digests of a group's millions.
+    """
+    key = lambda c: F.lpad(F.col(c).cast("string"), 16, "0")
+    low = rows.select(group, F.floor(F.col(number) / fan).alias("__a"), F.col(entry).alias("__e"))
+    parts = low.groupBy(group, "__a").agg(fingerprint(F.col("__e")).alias("__d"), F.count("*").alias("n"))
+    parts = parts.withColumns({"__b": F.floor(F.col("__a") / fan), "__e": F.concat(key("__a"), "__d", F.lit("\n"))})
+    whole = parts.groupBy(group, "__b").agg(fingerprint(F.col("__e")).alias("__d"), F.sum("n").alias("n"))
+    whole = whole.withColumn("__e", F.concat(key("__b"), "__d", F.lit("\n")))
+    return whole.groupBy(group).agg(fingerprint(F.col("__e")).alias("fingerprint"), F.sum("n").alias("n"))

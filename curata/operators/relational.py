@@ -9,6 +9,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
 from curata.functions.hashing import hamming, seeded_rank
+from curata.storage import materialize
 
 
 def keep_first(df: DataFrame, key: str, order: Sequence[str]) -> DataFrame:
@@ -21,34 +22,81 @@ def keep_first(df: DataFrame, key: str, order: Sequence[str]) -> DataFrame:
     return df.join(first, key).withColumn("is_first", F.struct(*order) == F.col("__first")).drop("__first")
 
 
+def numbered(df: DataFrame, order: Sequence[str], name: str, group: Sequence[str] = ()) -> DataFrame:
+    """``df`` and each row's position (from 1) by ``order``, in its group or in all.
+
+    Rows are range-partitioned by group and order, counted by partition, and
+    numbered within partitions from the counts before them: neither a hot group
+    nor the whole table meets in one task.
+    """
+    keys = [*group, *order]
+    ranged = df.repartitionByRange(*keys).withColumn("__part", F.spark_partition_id())
+    ranged = materialize(ranged, "ranged")
+    counts = ranged.groupBy(*group, "__part").agg(F.count("*").alias("__n"))  # one row per group and partition
+    frame = Window.partitionBy(*group).orderBy("__part").rowsBetween(Window.unboundedPreceding, -1)
+    before = counts.select(*group, "__part", F.coalesce(F.sum("__n").over(frame), F.lit(0)).alias("__before"))
+    on = F.col("r.__part") == F.col("b.__part")
+    for g in group:
+        on = on & F.col(f"r.{g}").eqNullSafe(F.col(f"b.{g}"))
+    own = F.row_number().over(Window.partitionBy(*[f"r.{g}" for g in group], "r.__part").orderBy(*[f"r.{c}" for c in order]))
+    rows = ranged.alias("r").join(before.alias("b"), on)
+    return rows.select(*[F.col(f"r.{c}") for c in df.columns], (own + F.col("b.__before")).alias(name))
+
+
 def duplicate_groups(df: DataFrame, key: str) -> DataFrame:
     """Keys with two rows or more: their size and a number by key order."""
-    groups = df.groupBy(key).agg(F.count("*").alias("size")).where("size > 1")
-    return groups.withColumn("number", F.row_number().over(Window.orderBy(key)))
+    return numbered(df.groupBy(key).agg(F.count("*").alias("size")).where("size > 1"), [key], "number")
 
 
-def hamming_pairs(df: DataFrame, key: str, value: str, most: int, bits: int = 64) -> DataFrame:
-    """Pairs ``a < b`` of keys whose ``bits``-bit values differ in at most ``most`` bits, and the distance.
+def _slices(df: DataFrame, key: str, value: str, edges: Sequence[int], k: str, v: str) -> DataFrame:
+    def part(i: int) -> Column:
+        width = edges[i + 1] - edges[i]
+        return F.shiftrightunsigned(F.col(value), edges[i]).bitwiseAND(F.lit((1 << width) - 1 if width < 63 else -1))
+
+    slices = F.array(*[F.struct(F.lit(i).alias("slice"), part(i).alias("bits")) for i in range(len(edges) - 1)])
+    return df.select(F.col(key).alias(k), F.col(value).alias(v), F.inline(slices))
+
+
+def hamming_join(left: DataFrame, right: DataFrame, key: str, value: str, most: int, bits: int = 64, once: bool = False) -> DataFrame:
+    """Pairs of keys ``a`` of left and ``b`` of right whose ``bits``-bit values differ in at most ``most`` bits, and the distance.
 
     Pigeonhole: of ``most + 1`` slices of the value one must be equal, so an
     equi-join on (slice number, slice) finds every pair; the distance is the
-    residual condition and a pair is kept at its first equal slice only.
+    residual condition and a pair is kept at its first equal slice only.  With
+    ``once`` only pairs ``a < b`` are given.  A slice has ``bits / (most + 1)``
+    bits, so a distance of 4 in 64 bits leaves one in 8192 pairs to compare;
+    keys with equal values meet in one slice each, however many they are.
     """
     n = most + 1
     edges = [round(k * bits / n) for k in range(n + 1)]
-
-    def part(v: Column, k: int) -> Column:
+    x = _slices(left, key, value, edges, "a", "x")
+    y = _slices(right, key, value, edges, "b", "y")
+    differ = F.col("x").bitwiseXOR(F.col("y"))
+    first = F.lit(True)
+    for k in range(n):
         width = edges[k + 1] - edges[k]
-        return F.shiftrightunsigned(v, edges[k]).bitwiseAND(F.lit((1 << width) - 1 if width < 63 else -1))
+        mask = F.lit((1 << width) - 1 if width < 63 else -1)
+        first = first & ((F.lit(k) >= F.col("slice")) | (F.shiftrightunsigned(differ, edges[k]).bitwiseAND(mask) != 0))
+    near = x.join(y, ["slice", "bits"]).where((hamming(F.col("x"), F.col("y")) <= most) & first)
+    near = near.where("a < b") if once else near
+    return near.select("a", "b", hamming(F.col("x"), F.col("y")).alias("distance"))
 
-    slices = F.array(*[F.struct(F.lit(k).alias("slice"), part(F.col(value), k).alias("bits")) for k in range(n)])
-    rows = df.select(F.col(key).alias("k"), F.col(value).alias("v"), F.inline(slices))
-    a, b = rows.alias("a"), rows.alias("b")
-    near = a.join(b, (F.col("a.slice") == F.col("b.slice")) & (F.col("a.bits") == F.col("b.bits")) & (F.col("a.k") < F.col("b.k")) & (hamming(F.col("a.v"), F.col("b.v")) <= most))
-    earlier = F.lit(False)
-    for k in range(n):
-        earlier = earlier | ((F.lit(k) < F.col("a.slice")) & (part(F.col("a.v"), k) == part(F.col("b.v"), k)))
-    return near.where(~earlier).select(F.col("a.k").alias("a"), F.col("b.k").alias("b"), hamming(F.col("a.v"), F.col("b.v")).alias("distance"))
+
+def hamming_pairs(df: DataFrame, key: str, value: str, most: int, bits: int = 64) -> DataFrame:
+    """Pairs ``a < b`` of keys whose values differ in at most ``most`` bits, and the distance.
+
+    Equal values are one before anything is joined: of the keys that share one
+    only the pairs asked for are listed at the end.
+    """
+    return hamming_join(df, df, key, value, most, bits, once=True)
+
+
+def hamming_links(df: DataFrame, key: str, value: str, most: int, bits: int = 64) -> DataFrame:
+    """Links ``src, dst`` that connect the same keys as all pairs do, without listing the pairs of equal values."""
+    stars = df.where(F.col(value).isNotNull()).groupBy(value).agg(F.min(key).alias("root"))
+    equal = df.join(stars, value).select(F.col(key).alias("src"), F.col("root").alias("dst")).where("src != dst")
+    near = hamming_join(stars, stars, "root", value, most, bits, once=True)
+    return equal.unionAll(near.select(F.col("a").alias("src"), F.col("b").alias("dst")))
 
 
 def values_across(df: DataFrame, value: str, split: str) -> DataFrame:
@@ -64,21 +112,72 @@ def hash_top(df: DataFrame, group: str, key: str, n: int, seed: int | str = 42)
 
 
 def round_robin(df: DataFrame, group: str, order: Sequence[str], quota: int) -> DataFrame:
-    """Rows taken from the groups in turn until ``quota`` are taken (a quota is the feature)."""
+    """Rows taken from the groups in turn until ``quota`` are taken (a quota is the feature).
+
+    No group gives more than ``quota``, so what comes later is dropped before
+    groups are ranked.
+    """
     place = F.row_number().over(Window.partitionBy(group).orderBy(*order))
-    return df.withColumn("turn", place).orderBy("turn", group, *order).limit(quota)
+    return df.withColumn("turn", place).where(F.col("turn") <= quota).orderBy("turn", group, *order).limit(quota)
 
 
 def oversample(df: DataFrame, group: str, order: Sequence[str]) -> DataFrame:
     """Every group repeated in order up to the size of the largest: ``copy`` numbers the rounds."""
     sizes = df.groupBy(group).agg(F.count("*").alias("__n"))
     most = sizes.agg(F.max("__n").alias("__m"))
-    rows = df.withColumn("__i", F.row_number().over(Window.partitionBy(group).orderBy(*order)) - 1)
+    rows = numbered(df, order, "__i", [group]).withColumn("__i", F.col("__i") - 1)
     rows = rows.join(sizes, group).join(F.broadcast(most))  # one row
     times = F.floor((F.col("__m") - F.col("__i") - 1) / F.col("__n")).cast("int")
     return rows.where(F.col("__i") < F.col("__m")).withColumn("copy", F.explode(F.sequence(F.lit(0), times))).drop("__i", "__n", "__m")
 
 
+def snap_down(value: Column, limits: Sequence[float]) -> Column:
+    """The largest of the limits that a value reaches, -1 below all: it compares with each limit (``>=``, ``<``) as the value does."""
+    out = F.when(value.isNull(), None)
+    for x in sorted(limits, reverse=True):
+        out = out.when(value >= x, float(x))
+    return out.otherwise(-1.0)
+
+
+def snap_up(value: Column, limits: Sequence[float]) -> Column:
+    """The smallest limit that a value does not pass, infinite beyond all: it compares with each limit (``>``) as the value does."""
+    out = F.when(value.isNull(), None)
+    for x in sorted(limits):
+        out = out.when(value <= x, float(x))
+    return out.otherwise(float("inf"))
+
+
+def exact_quantiles(df: DataFrame, keys: Sequence[str], value: str, shares: Sequence[float], bins: int = 4096) -> DataFrame:
+    """Linearly interpolated quantiles per group: ``keys, n, lo, hi, q`` (an array in the order of ``shares``).
+
+    Values are counted in ``bins`` equal steps between a group's extremes; only
+    the steps that hold an asked rank are looked at value by value, so no task
+    holds a group's values.  Nulls are not counted.
+    """
+    keys = list(keys)
+    rows = df.where(F.col(value).isNotNull()).select(*keys, F.col(value).cast("double").alias("__v"))
+    ends = rows.groupBy(*keys).agg(F.count("*").alias("n"), F.min("__v").alias("lo"), F.max("__v").alias("hi"))  # one row per group
+    step = F.when(F.col("hi") > F.col("lo"), F.floor((F.col("__v") - F.col("lo")) / (F.col("hi") - F.col("lo")) * bins)).otherwise(0)
+    counted = rows.join(ends, keys).withColumn("__bin", step).groupBy(*keys, "__bin", "__v").agg(F.count("*").alias("__c"))
+    counted = materialize(counted, "values")
+    per_bin = counted.groupBy(*keys, "__bin").agg(F.sum("__c").alias("__b"))
+    frame = Window.partitionBy(*keys).orderBy("__bin").rowsBetween(Window.unboundedPreceding, -1)
+    before = per_bin.select(*keys, "__bin", "__b", F.coalesce(F.sum("__b").over(frame), F.lit(0)).alias("__before"))
+    wanted = F.array(*[F.struct(F.lit(i).alias("__i"), F.lit(float(p)).alias("__p"), F.lit(o).alias("__o")) for i, p in enumerate(shares) for o in (0, 1)])
+    ranks = ends.select(*keys, "n", F.inline(wanted))
+    exact = (F.col("n") - 1) * F.col("__p")
+    ranks = ranks.withColumn("__rank", F.least(F.floor(exact) + F.col("__o"), F.col("n") - 1)).withColumn("__part", exact - F.floor(exact))
+    place = ranks.join(before, keys).where("__rank >= __before and __rank < __before + __b")
+    inner = Window.partitionBy(*keys, "__bin").orderBy("__v").rowsBetween(Window.unboundedPreceding, -1)
+    inside = counted.join(place.select(*keys, "__bin").distinct(), [*keys, "__bin"], "left_semi")
+    inside = inside.withColumn("__first", F.coalesce(F.sum("__c").over(inner), F.lit(0)))
+    found = place.join(inside, [*keys, "__bin"]).where("__rank - __before >= __first and __rank - __before < __first + __c")
+    weight = F.when(F.col("__o") == 0, 1 - F.col("__part")).otherwise(F.col("__part"))
+    per = found.groupBy(*keys, "__i").agg(F.sum(weight * F.col("__v")).alias("__q"))
+    per = per.groupBy(*keys).agg(F.transform(F.array_sort(F.collect_list(F.struct("__i", "__q"))), lambda s: s["__q"]).alias("q"))
+    return ends.join(per, keys)
+
+
 def largest_remainder(total: Column, shares: Sequence[float]) -> list[Column]:
     """Whole numbers in the shares that sum to ``total``; left-over units go to the largest remainders, ties to the first."""
     exact = [total * s for s in shares]
@@ -101,7 +200,14 @@ def equal_width_histogram(df: DataFrame, value: str, bins: int = 20) -> DataFram
     return rows.groupBy(number.cast("int").alias("bin")).agg(F.count("*").alias("n"))
 
 
-def unique_match(left: DataFrame, right: DataFrame, on: Sequence[str], condition: Column, key: str, pick: str) -> DataFrame:
-    """For each left key the one right row that the condition accepts; keys with none or several are left out."""
-    both = left.join(right, list(on)).where(condition)
+def within(left: DataFrame, right: DataFrame, on: Sequence[str], a: str, b: str, most: float) -> DataFrame:
+    """Join on equal keys and values that differ by at most ``most``: buckets of that width meet their neighbours."""
+    wide = lambda c: F.floor(F.col(c) / most)
+    near = left.withColumn("__bucket", F.explode(F.array(wide(a) - 1, wide(a), wide(a) + 1)))
+    both = near.join(right.withColumn("__bucket", wide(b)), [*on, "__bucket"])
+    return both.where(F.abs(F.col(a) - F.col(b)) <= most).drop("__bucket")
+
+
+def unique_match(both: DataFrame, key: str, pick: str) -> DataFrame:
+    """Of matches the one of each key that has only one; keys with several are left out."""
     return both.groupBy(key).agg(F.count("*").alias("candidates"), F.min(pick).alias(pick)).where("candidates = 1").drop("candidates")

@@ -2,36 +2,16 @@
 
 from __future__ import annotations
 
-from collections.abc import Callable
-
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
 from curata.functions import geometry as geo
 from curata.functions import hashing, labels
+from curata.operators import evaluation as ev
 from curata.operators import relational as rel
 from curata.operators.graph import connected_components
-
-QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
-ORACLE_SQL: dict[str, str] = {}
-
-
-def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
-    return spark.read.parquet(f"{sf_dir}/{name}.parquet")
-
-
-def query(name: str, sql: str | None = None):
-    """Register a function of (spark, sf_dir) under ``name``, with the SQL that gives the same rows."""
-
-    def register(function):
-        QUERIES[name] = function
-        if sql:
-            ORACLE_SQL[name] = sql
-        return function
-
-    return register
-
+from curata.plans.registry import ORACLE_SQL, QUERIES, query, table
 
 @query(
     "dedup_keep_first",
@@ -148,7 +128,8 @@ def metric_rollup_grouping_sets(spark, sf_dir):
 
 
 AUDIT = """
-SELECT d.doc_id, CASE WHEN l.quality = 0 THEN 'BAD' WHEN l.toxic = 1 THEN 'AMBIGUOUS' ELSE 'GOOD' END AS label,
+SELECT d.doc_id, CASE WHEN (d.n_chars % 1000) >= 250 AND (d.n_chars * 7) % 1000 < 800 AND (d.n_chars * 3) % 120 > 60 THEN 'BAD'
+    WHEN d.doc_id % 3 > 1 AND d.doc_id % 100 < 38 THEN 'AMBIGUOUS' WHEN l.toxic = 1 AND d.doc_id % 9 = 0 THEN 'BAD' ELSE 'GOOD' END AS label,
     (d.doc_id % 11 <> 0) AS available, (d.doc_id % 13 = 0) AS fallback, d.doc_id % 3 AS eligible,
     CASE WHEN d.doc_id % 5 <> 0 THEN (d.doc_id % 100) / 100.0::DOUBLE END AS margin,
     (d.n_chars % 1000)::DOUBLE / 1000 AS area, ((d.n_chars * 7) % 1000)::DOUBLE / 1000 AS bbox_ratio,
@@ -167,7 +148,11 @@ def _audit(spark: SparkSession, sf_dir: str) -> DataFrame:
     i, n = F.col("doc_id"), F.col("n_chars")
     return rows.select(
         "doc_id",
-        F.when(F.col("quality") == 0, "BAD").when(F.col("toxic") == 1, "AMBIGUOUS").otherwise("GOOD").alias("label"),
+        F.when((n % 1000 >= 250) & (n * 7 % 1000 < 800) & (n * 3 % 120 > 60), "BAD")
+        .when((i % 3 > 1) & (i % 100 < 38), "AMBIGUOUS")
+        .when((F.col("toxic") == 1) & (i % 9 == 0), "BAD")
+        .otherwise("GOOD")
+        .alias("label"),
         (i % 11 != 0).alias("available"),
         (i % 13 == 0).alias("fallback"),
         (i % 3).alias("eligible"),
@@ -245,10 +230,18 @@ def _grid(spark: SparkSession) -> DataFrame:
 
 
 def _sweep(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Every gate of the grid against every audited row; rows that agree in all that a gate reads are counted first."""
-    audit = _audit(spark, sf_dir)
+    """Every gate of the grid against every audited row; rows that no gate of the grid tells apart are counted first."""
+    audit = _audit(spark, sf_dir).withColumns(
+        {
+            "eligible": F.least("eligible", F.lit(2)),
+            "margin": rel.snap_down(F.col("margin"), GRID["min_margin"]),
+            "area": rel.snap_down(F.col("area"), GRID["max_area"] + GRID["large_area"]),
+            "bbox_ratio": rel.snap_down(F.col("bbox_ratio"), GRID["min_bbox_ratio"]),
+            "perimeter": rel.snap_up(F.col("perimeter"), GRID["max_perimeter"]),
+        }
+    )
     reads = ["label", "available", "fallback", "eligible", "margin", "area", "bbox_ratio", "perimeter"]
-    kinds = audit.groupBy(*reads).agg(F.count("*").alias("w"))
+    kinds = audit.groupBy(*reads).agg(F.count("*").alias("w"))  # some thousands of cells, whatever the input
     grid = F.broadcast(_grid(spark))  # 640 rows, whatever the input
     both = kinds.join(grid).withColumn("status", _status({k: F.col(k) for k in GRID}))
     ok, good, w = F.col("status") == "reliable", F.col("label") == "GOOD", F.col("w")
@@ -268,18 +261,13 @@ _DISTANCE = " + ".join(f"abs({k} - {v})" for k, v in GATE.items())
     "gate_recommended",
     f"""
     SELECT {', '.join(GRID)}, reliable_good, reliable FROM (SELECT *, round({_DISTANCE}, 9) AS far FROM ({SWEEP}))
-    WHERE CASE WHEN reliable > 0 THEN reliable_good / reliable ELSE 0.0 END >= 0.5
+    WHERE CASE WHEN reliable > 0 THEN reliable_good / reliable ELSE 0.0 END >= 0.95
     ORDER BY reliable_good DESC, reliable_good / good DESC, reliable_good / reliable DESC, reliable / n DESC, far,
         {', '.join(GRID)} LIMIT 1
     """,
 )
 def gate_recommended(spark, sf_dir):
-    rows = _sweep(spark, sf_dir)
-    far = sum((F.abs(F.col(k) - v) for k, v in list(GATE.items())[1:]), F.abs(F.col("max_area") - GATE["max_area"]))
-    prec = F.coalesce(F.try_divide("reliable_good", "reliable"), F.lit(0.0))
-    viable = rows.withColumn("far", F.round(far, 9)).where(prec >= 0.5)
-    order = [F.desc("reliable_good"), F.try_divide("reliable_good", "good").desc(), prec.desc(), F.try_divide("reliable", "n").desc(), F.col("far"), *GRID]
-    return viable.orderBy(*order).limit(1).select(*GRID, "reliable_good", "reliable")
+    return ev.recommend_gate(_sweep(spark, sf_dir), GATE)
 
 
 @query(
@@ -309,8 +297,7 @@ def threshold_choice(spark, sf_dir):
 )
 def feature_distributions(spark, sf_dir):
     rows = _audit(spark, sf_dir).select("label", "area", "bbox_ratio", "perimeter").unpivot("label", ["area", "bbox_ratio", "perimeter"], "feature", "v")
-    q = F.percentile("v", F.array(F.lit(0.25), F.lit(0.5), F.lit(0.75)))
-    out = rows.groupBy("feature", "label").agg(F.count("v").alias("n"), F.min("v").alias("lo"), q.alias("q"), F.max("v").alias("hi"))
+    out = rel.exact_quantiles(rows, ["feature", "label"], "v", (0.25, 0.5, 0.75))
     return out.select("feature", "label", "n", "lo", *[F.round(F.get("q", F.lit(k)), 9).alias(f"q{k + 1}") for k in range(3)], "hi")
 
 
@@ -330,13 +317,33 @@ def ahash64(spark, sf_dir):
     return _ahash(spark, sf_dir)
 
 
+#: 64 bits of a text: whether each of 64 letters occurs an odd number of times, so near copies differ in few.
+_PARITY = """SELECT doc_id, list_sum(list_transform(range(0, 64), lambda i: CASE WHEN (len(text) - len(replace(text, chr((59 + i)::INTEGER), ''))) % 2 = 0 THEN 0::HUGEINT
+    WHEN i < 63 THEN 1::HUGEINT << i::HUGEINT ELSE -(1::HUGEINT << 63::HUGEINT) END))::BIGINT AS bits FROM (SELECT doc_id, coalesce(text, '') AS text FROM documents)"""
+
+
+def parity_hash(text: F.Column) -> F.Column:
+    t = F.coalesce(text, F.lit(""))
+    n = F.length(t)
+    out = F.lit(0).cast("long")
+    for i in range(64):
+        odd = (n - F.length(F.replace(t, F.lit(chr(59 + i)), F.lit("")))) % 2
+        out = out.bitwiseOR(F.shiftleft(odd.cast("long"), i))
+    return out
+
+
+@query("text_hash64", _PARITY)
+def text_hash64(spark, sf_dir):
+    return table(spark, sf_dir, "documents").select("doc_id", parity_hash(F.col("text")).alias("bits"))
+
+
 @query(
     "hamming_pairs",
-    f"""WITH h AS ({_AHASH}) SELECT a.vec_id AS a, b.vec_id AS b, bit_count(xor(a.ahash, b.ahash))::INTEGER AS distance
-    FROM h a JOIN h b ON a.vec_id < b.vec_id AND bit_count(xor(a.ahash, b.ahash)) <= 8""",
+    f"""WITH h AS ({_PARITY}) SELECT a.doc_id AS a, b.doc_id AS b, bit_count(xor(a.bits, b.bits))::INTEGER AS distance
+    FROM h a JOIN h b ON a.doc_id < b.doc_id AND bit_count(xor(a.bits, b.bits)) <= 4""",
 )
 def hamming_pairs(spark, sf_dir):
-    return rel.hamming_pairs(_ahash(spark, sf_dir), "vec_id", "ahash", 8)
+    return rel.hamming_pairs(text_hash64(spark, sf_dir), "doc_id", "bits", 4)
 
 
 @query(
@@ -414,22 +421,22 @@ def source_split_matrix(spark, sf_dir):
     return cells.withColumn("share", F.round(F.col("n") / F.sum("n").over(Window.partitionBy("source")), 9))
 
 
+_ENTRY = "doc_id || chr(9) || sha256(coalesce(text, '')) || chr(10)"
+
+
 @query(
     "split_fingerprint",
     f"""
-    SELECT split, sha256(string_agg(part, '' ORDER BY part)) AS fingerprint, sum(n)::BIGINT AS n FROM (
-        SELECT split, part, sha256(string_agg(entry, '' ORDER BY entry)) || chr(10) AS digest, count(*) AS n, part || sha256(string_agg(entry, '' ORDER BY entry)) || chr(10) AS whole
-        FROM (SELECT {_SPLIT} AS split, lpad(((doc_id // 20) % 64)::VARCHAR, 2, '0') AS part, doc_id || chr(9) || sha256(coalesce(text, '')) || chr(10) AS entry FROM documents) GROUP BY split, part) GROUP BY split
-    """.replace("string_agg(part, '' ORDER BY part)", "string_agg(whole, '' ORDER BY whole)"),
+    WITH e AS (SELECT {_SPLIT} AS split, doc_id // 1000 AS a, {_ENTRY} AS entry FROM documents),
+    p AS (SELECT split, a, a // 1000 AS b, lpad(a::VARCHAR, 16, '0') || sha256(string_agg(entry, '' ORDER BY entry)) || chr(10) AS entry, count(*) AS n FROM e GROUP BY split, a),
+    q AS (SELECT split, lpad(b::VARCHAR, 16, '0') || sha256(string_agg(entry, '' ORDER BY entry)) || chr(10) AS entry, sum(n) AS n FROM p GROUP BY split, b)
+    SELECT split, sha256(string_agg(entry, '' ORDER BY entry)) AS fingerprint, sum(n)::BIGINT AS n FROM q GROUP BY split
+    """,
 )
 def split_fingerprint(spark, sf_dir):
-    """Two levels of digests, so that no task sorts all entries of a split."""
     docs = _sha(spark, sf_dir).withColumn("split", _split())
-    part = F.lpad((F.floor(F.col("doc_id") / 20) % 64).cast("string"), 2, "0")
     entry = F.concat(F.col("doc_id").cast("string"), F.lit("\t"), "sha", F.lit("\n"))
-    parts = docs.groupBy("split", part.alias("part")).agg(hashing.fingerprint(entry).alias("digest"), F.count("*").alias("n"))
-    whole = F.concat("part", "digest", F.lit("\n"))
-    return parts.groupBy("split").agg(hashing.fingerprint(whole).alias("fingerprint"), F.sum("n").alias("n"))
+    return hashing.fingerprints(docs.select("split", "doc_id", entry.alias("entry")), "split", "doc_id", "entry")
 
 
 _TURNS = "SELECT conv_id, turn, length(text) AS area, (length(text) * 37 % 1000) / 1000.0::DOUBLE AS score FROM conversations"
@@ -520,13 +527,13 @@ def decision_counts(spark, sf_dir):
 @query(
     "wildcard_review_join",
     """
-    SELECT l_orderkey, l_linenumber, r.rule FROM lineitem l JOIN (SELECT o_orderkey, CASE WHEN o_orderkey % 3 = 0 THEN NULL ELSE 1 + o_orderkey % 4 END AS line, 'review' || o_orderkey % 5 AS rule FROM orders WHERE o_orderkey % 50 = 1) r
+    SELECT l_orderkey, l_linenumber, r.rule FROM lineitem l JOIN (SELECT o_orderkey, CASE WHEN o_orderkey % 3 = 0 THEN NULL ELSE 1 + o_orderkey % 4 END AS line, 'review' || o_orderkey % 5 AS rule FROM orders) r
     ON r.o_orderkey = l.l_orderkey AND (r.line IS NULL OR r.line = l.l_linenumber)
     """,
 )
 def wildcard_review_join(spark, sf_dir):
     k = F.col("o_orderkey")
-    reviews = table(spark, sf_dir, "orders").where(k % 50 == 1).select(k.alias("l_orderkey"), F.when(k % 3 != 0, 1 + k % 4).alias("line"), F.concat(F.lit("review"), (k % 5).cast("string")).alias("rule"))
+    reviews = table(spark, sf_dir, "orders").select(k.alias("l_orderkey"), F.when(k % 3 != 0, 1 + k % 4).alias("line"), F.concat(F.lit("review"), (k % 5).cast("string")).alias("rule"))
     both = table(spark, sf_dir, "lineitem").join(reviews, "l_orderkey").where(F.col("line").isNull() | (F.col("line") == F.col("l_linenumber")))
     return both.select("l_orderkey", "l_linenumber", "rule")
 
@@ -637,14 +644,14 @@ def unique_theta_match(spark, sf_dir):
     orders = table(spark, sf_dir, "orders").select(F.col("o_orderkey").alias("l_orderkey"), F.col("o_custkey").alias("c_custkey"))
     customers = table(spark, sf_dir, "customer").select("c_custkey", F.col("c_nationkey").alias("nation"), F.col("c_acctbal").cast("double").alias("a"))
     suppliers = table(spark, sf_dir, "supplier").select("s_suppkey", F.col("s_nationkey").alias("nation"), F.col("s_acctbal").cast("double").alias("b"))
-    left = customers.join(orders, "c_custkey")
-    return rel.unique_match(left, suppliers, ["nation"], F.abs(F.col("a") - F.col("b")) <= 500, "l_orderkey", "s_suppkey")
+    matches = rel.unique_match(rel.within(customers, suppliers, ["nation"], "a", "b", 500.0), "c_custkey", "s_suppkey")
+    return orders.join(matches, "c_custkey").select("l_orderkey", "s_suppkey")
 
 
 @query(
     "resolution_and_orientation",
     """SELECT CASE WHEN w > h THEN 'horizontal' WHEN h > w THEN 'vertical' ELSE 'square' END AS orientation, CASE WHEN w > h * 1.1 THEN 'horizontal' WHEN h > w * 1.1 THEN 'vertical' ELSE 'square' END AS loose,
-    CASE WHEN w * h < 500000 THEN 'small' WHEN w * h < 2000000 THEN 'medium' ELSE 'large' END AS pixels, CASE WHEN w * h / 1e6 <= 0.1 THEN 'small' WHEN w * h / 1e6 <= 1.0 THEN 'medium' ELSE 'large' END AS mega, count(*) AS n
+    CASE WHEN w * h < 500000 THEN 'small' WHEN w * h < 2000000 THEN 'medium' ELSE 'large' END AS pixels, CASE WHEN w * h / 1e6 <= 0.1 THEN 'low_<=0.10mp' WHEN w * h / 1e6 <= 1.0 THEN 'medium_<=1.00mp' ELSE 'high_>1.00mp' END AS mega, count(*) AS n
     FROM (SELECT 200 + p_partkey * 13 % 1900 AS w, 200 + p_partkey * 29 % 1700 AS h FROM part) GROUP BY ALL""",
 )
 def resolution_and_orientation(spark, sf_dir):
@@ -655,11 +662,4 @@ def resolution_and_orientation(spark, sf_dir):
     return rows.groupBy(*keys).agg(F.count("*").alias("n"))
 
 
-@query("label_line_issues")
-def label_line_issues(spark, sf_dir):
-    """Label lines made of embeddings, one in five broken on purpose, parsed and counted by issue."""
-    i = F.col("vec_id") % 5
-    values = F.transform(F.slice("embedding", 1, 8), lambda v: F.format_string("%.6f", F.abs(v.cast("double"))))
-    line = F.concat_ws(" ", F.lit("0"), F.array_join(values, " "), F.when(i == 1, "abc 0.5").when(i == 2, "1.5 0.5").when(i == 3, "nan 0.1").when(i == 4, "0.5"))
-    parsed = table(spark, sf_dir, "embeddings").select(labels.parse_polygon_line(line).alias("p"))
-    return parsed.select(F.explode_outer("p.issues").alias("issue")).groupBy("issue").agg(F.count("*").alias("n"))
+from curata.plans import evaluation, outlines, reviews, selection, splits  # noqa: E402, F401  (they register their queries)
