@@ -46,7 +46,7 @@ GRAMS = (1,)
 #: Blocks of documents that a bucket of counts stands for.
 BUCKET_BLOCKS = 3
 #: Tokens of a gradient step, and the step size.
-STEP, RATE = 8192, 0.3
+STEP, RATE = 16384, 0.4
 #: Passes over the training documents.
 ROUNDS = 1
 _LOW = np.uint64(CLASSES - 1)
@@ -107,17 +107,21 @@ def contexts(codes: np.ndarray, sizes: np.ndarray) -> np.ndarray:
     n = len(codes)
     one, two = _before(codes, sizes)
     out = np.empty((n, FEATURES), np.int64)
-    out[:, 0] = (_scramble(one * _MUL) % np.uint64(SLOTS)).astype(np.int64)
-    out[:, 1] = (_scramble(two * _MUL + np.uint64(1)) % np.uint64(SLOTS)).astype(np.int64) + SLOTS
-    out[:, 2] = (_scramble(one * _MUL + _scramble(two)) % np.uint64(SLOTS)).astype(np.int64) + 2 * SLOTS
+    out[:, 0] = (_scramble(one * _MUL) & np.uint64(SLOTS - 1)).astype(np.int64)
+    out[:, 1] = (_scramble(two * _MUL + np.uint64(1)) & np.uint64(SLOTS - 1)).astype(np.int64) + SLOTS
+    out[:, 2] = (_scramble(one * _MUL + _scramble(two)) & np.uint64(SLOTS - 1)).astype(np.int64) + 2 * SLOTS
     return out
 
 
 def class_log(weights: np.ndarray, features: np.ndarray) -> np.ndarray:
     """Natural logarithms of the class probabilities, [tokens, classes]; the last row of the weights is the bias."""
-    z = weights[features[:, 0]] + weights[features[:, 1]] + weights[features[:, 2]] + weights[-1]
-    z -= z.max(1, keepdims=True)
-    return z - np.log(np.exp(z).sum(1, keepdims=True))
+    z = weights[features[:, 0]]
+    z += weights[features[:, 1]]
+    z += weights[features[:, 2]]
+    z += weights[-1]
+    np.clip(z, -60, 60, out=z)  # far beyond what a step can reach; exp stays finite without a maximum per token
+    z -= np.log(np.exp(z) @ np.ones(z.shape[1], z.dtype))[:, None]
+    return z
 
 
 def train_on(weights: np.ndarray, square: np.ndarray, touched: np.ndarray, features: np.ndarray, classes: np.ndarray) -> None:
@@ -152,9 +156,12 @@ def _blocks(docs: DataFrame, text: str, folds: int, held: int) -> DataFrame:
         table = table.sort_by([("id", "ascending"), ("b", "ascending")])
         lists = [t.lower().split() for t in table.column("b").to_pylist()]
         sizes = np.array([len(w) + 1 for w in lists], np.int64)
-        number: dict[bytes, int] = {}
-        local = np.fromiter((number.setdefault(w, len(number)) for ws in lists for w in (*ws, b" ")), np.int32, int(sizes.sum()))
+        flat = [w for ws in lists for w in (*ws, b" ")]
         del lists
+        number = dict.fromkeys(flat)
+        number.update(zip(number, range(len(number))))
+        local = np.fromiter(map(number.__getitem__, flat), np.int32, len(flat))
+        del flat
         codes = np.fromiter((END if w == b" " else word_code(w) for w in number), np.uint64, len(number))
         distinct, where = np.unique(codes, return_inverse=True)
         tokens = where.astype(np.int32)[local]
