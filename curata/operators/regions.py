@@ -46,7 +46,7 @@ def imported(images: DataFrame, annotations: DataFrame, key: str, width: str, he
 
 def single_box(text: Column, width: Column, height: Column, min_area_ratio: float) -> Column:
     """A label text with one box of class 0, or why it cannot be used; a null text is a missing file."""
-    lines = F.filter(F.transform(F.split(F.regexp_replace(text, "^\ufeff", ""), "\r\n|[\n\r]"), F.trim), lambda s: s != "")
+    lines = F.filter(F.transform(F.split(F.regexp_replace(text, "^\ufeff", ""), "\r\n|[\n\r]"), lambda s: F.trim(s)), lambda s: s != "")
 
     def of_line(n: Column, c: Column, fields: Column) -> Column:
         return (
