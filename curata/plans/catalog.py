@@ -662,4 +662,4 @@ def resolution_and_orientation(spark, sf_dir):
     return rows.groupBy(*keys).agg(F.count("*").alias("n"))
 
 
-from curata.plans import evaluation, outlines, reviews, selection, splits  # noqa: E402, F401  (they register their queries)
+from curata.plans import annotations, evaluation, outlines, reviews, selection, splits  # noqa: E402, F401  (they register their queries)

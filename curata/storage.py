@@ -12,10 +12,12 @@ _own: dict[str, str] = {}
 
 
 def scratch_root(spark: SparkSession) -> str:
-    """The folder that the cluster names in ``spark.checkpoint.dir``; a temporary one only where that is unset (tests)."""
+    """The folder that the cluster names in ``spark.checkpoint.dir``; a temporary one only in local mode (tests)."""
     named = spark.conf.get("spark.checkpoint.dir", None)
     if named:
         return named.rstrip("/")
+    if not spark.sparkContext.master.startswith(("local[", "local*")) and spark.sparkContext.master != "local":
+        raise ValueError("spark.checkpoint.dir must name a folder that all executors share")
     app = spark.sparkContext.applicationId
     if app not in _own:
         _own[app] = "file://" + tempfile.mkdtemp(prefix="curata-")
@@ -29,6 +31,8 @@ def materialize(df: DataFrame, label: str = "step", **options: str) -> DataFrame
     df.write.options(**options).parquet(path)
     out = spark.read.schema(df.schema).parquet(path)
     out._curata_path = path  # type: ignore[attr-defined]
+    where = spark._jvm.org.apache.hadoop.fs.Path(path)
+    where.getFileSystem(spark._jsc.hadoopConfiguration()).deleteOnExit(where)  # what reads it is a plan of this application
     sweep(spark)
     return out
 
