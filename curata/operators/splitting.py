@@ -230,3 +230,24 @@ def split_summary(rows: DataFrame, split: str, sums: Sequence[str]) -> DataFrame
     """Rows, share of all and sums of each split; a window over one row per split."""
     per = rows.groupBy(split).agg(F.count("*").alias("images"), *[F.sum(c).alias(c) for c in sums])
     return per.withColumn("share", F.col("images") / F.sum("images").over(Window.partitionBy()))
+
+
+def split_records(images: DataFrame, label_files: DataFrame, manifest: DataFrame) -> tuple[DataFrame, DataFrame]:
+    """Images with their labels and manifest rows, and what keeps them from being whole.
+
+    ``images`` and ``label_files`` have ``stem``, the manifest ``stem`` and
+    ``image_sha256``; problems are (problem, stem): a part that is missing, a
+    manifest that says two things of one image, a digest that changed.
+    """
+    said = manifest.groupBy("stem").agg(F.min("image_sha256").alias("__a"), F.max("image_sha256").alias("__b"))
+    sides = {"image": images.select("stem"), "label": label_files.select("stem"), "manifest": manifest.select("stem")}
+    every = None
+    for s in sides.values():
+        every = s if every is None else every.unionAll(s)
+    every = every.distinct()
+    found = said.where("__a != __b").select(F.lit("contradicting_manifest").alias("problem"), "stem")
+    for name, side in sides.items():
+        found = found.unionAll(every.join(side, "stem", "left_anti").select(F.lit(f"no_{name}").alias("problem"), "stem"))
+    changed = images.join(said, "stem").where("sha256 != __a").select(F.lit("changed_image").alias("problem"), "stem")
+    once = manifest.dropDuplicates(["stem"])  # rows that agree, or else a problem
+    return images.join(label_files, "stem").join(once, "stem"), found.unionAll(changed)

@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from collections.abc import Mapping, Sequence
+from collections.abc import Callable, Mapping, Sequence
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -91,3 +91,29 @@ def require(found: DataFrame, what: str) -> None:
 def forbidden_path(path: Column, parts: Sequence[str]) -> Column:
     """Whether a path leads through a folder or file of such a name."""
     return F.exists(F.split(path, "/"), lambda p: p.isin(*parts))
+
+
+def same_twice(build: Callable[[], DataFrame]) -> bool:
+    """Whether a plan that is run twice gives the same rows, repeated ones counted, in any order."""
+
+    def state() -> tuple:
+        df = build()
+        row = F.xxhash64(*[F.col(f"`{c}`") for c in df.columns])
+        return tuple(df.agg(F.count("*"), F.bit_xor(row), F.sum(row.cast("decimal(38,0)"))).first())
+
+    return state() == state()
+
+
+def lock_problems(locks: DataFrame, expected: Mapping[str, object]) -> DataFrame:
+    """``field, found, expected`` of every field in which a lock differs from what a run needs; none may be missing."""
+    lit = lambda v: F.lit(None if v is None else str(v))
+    rows = [F.struct(F.lit(k).alias("field"), (F.col(k).cast("string") if k in locks.columns else F.lit(None).cast("string")).alias("found"), lit(v).alias("expected")) for k, v in expected.items()]
+    return locks.select(F.inline(F.array(*rows))).where(~F.col("found").eqNullSafe(F.col("expected")))
+
+
+def split_counts(rows: DataFrame, split: str, masks: str, expected: Mapping[str, tuple[int, int]]) -> DataFrame:
+    """``split, images, masks`` where they are not the expected numbers."""
+    have = rows.groupBy(split).agg(F.count("*").alias("images"), F.coalesce(F.sum(masks), F.lit(0)).alias("masks"))
+    want = rows.sparkSession.createDataFrame([(k, *v) for k, v in expected.items()], f"{split} string, want_images long, want_masks long")  # one row a split
+    both = have.join(want, split, "full")
+    return both.where(~F.col("images").eqNullSafe(F.col("want_images")) | ~F.col("masks").eqNullSafe(F.col("want_masks")))

@@ -11,6 +11,7 @@ from pyspark.errors import AnalysisException
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
+from pyspark.sql.window import Window
 
 from curata.functions import labels, strings
 from curata.operators import validation as va
@@ -121,6 +122,13 @@ def read_label_lines(spark: SparkSession, path: str) -> DataFrame:
     return lines.select("file", (F.col("pos") + 1).alias("line_number"), "raw_line")
 
 
+def instance_index(lines: DataFrame) -> DataFrame:
+    """``lines`` and ``instance``: the number of a line among those of its file that are not blank."""
+    filled = F.when(F.trim("raw_line") != "", 1).otherwise(0)
+    own = Window.partitionBy("file").orderBy("line_number").rowsBetween(Window.unboundedPreceding, 0)  # the lines of one file
+    return lines.withColumn("instance", F.when(F.trim("raw_line") != "", F.sum(filled).over(own)))
+
+
 def valid_polygons(lines: DataFrame, strict: bool = False) -> DataFrame:
     """``file, line_number, class_id, points`` of lines that are valid polygons; with ``strict`` any other line is an error."""
     parsed = lines.withColumn("p", labels.parse_polygon_line(F.col("raw_line")))

@@ -8,7 +8,7 @@ from pyspark.sql import functions as F
 from curata.functions import boxes, hashing, labels, strings
 from curata.functions import geometry as geo
 from curata.operators import evaluation as ev
-from curata.operators import masks, regions
+from curata.operators import masks, models, regions
 from curata.operators import relational as rel
 from curata.operators import splitting as sp
 from curata.operators import validation as va
@@ -354,3 +354,42 @@ def test_single_boxes(spark):
     texts = {None: ("pending", "no_label"), "": ("ambiguous", "empty_label"), "0 0.5 0.5 0.4 0.4": ("annotated", None), "0 0.5 0.5 0.4 0.4\n0 0.5 0.5 0.4 0.4": ("ambiguous", "boxes=2"), "1 0.5 0.5 0.4 0.4": ("ambiguous", "class"), "0 0.5 0.5 0.4": ("ambiguous", "format"), "0 0 0 1 0 1 1": ("ambiguous", "polygon"), "0 0.5 9 0.4 0.4": ("ambiguous", "coordinates"), "0 0.1 0.5 0.4 0.4": ("annotated", "clipped_to_image")}
     df = spark.createDataFrame([(k,) for k in texts], "t string").withColumn("a", regions.single_box(F.col("t"), F.lit(100), F.lit(50), 0.01))
     assert {r.t: (r.a.status, r.a.note) for r in df.collect()} == texts
+
+
+def test_models_as_table_functions(spark):
+    class Halves:
+        """A model that finds two boxes in images of even length."""
+
+        def segment(self, content):
+            if content == b"bad":
+                raise ValueError("no image")
+            return [{"confidence": 0.5, "class_id": k} for k in range(2)] if len(content) % 2 == 0 else []
+
+    images = spark.createDataFrame([("a", b"1234"), ("b", b"12345"), ("c", b"bad")], "name string, content binary")
+    out = models.segmented(images, "name", "content", Halves, "confidence double, class_id int").collect()
+    assert sorted((r.name, r.source_index, r.class_id, r.error) for r in out if r.source_index is not None) == [("a", 0, 0, None), ("a", 1, 1, None)]
+    assert sorted((r.name, r.error) for r in out if r.source_index is None) == [("b", None), ("c", "ValueError: no image")]
+    said = {r.name: r.problem for r in models.checked(images, "name", "content", lambda d: "odd" if len(d) % 2 else None).collect()}
+    assert said == {"a": None, "b": "odd", "c": "odd"}
+    rows = spark.createDataFrame([(1, [0.5, 0.6], [0, 1])], "k int, conf array<double>, cls array<int>")
+    assert [tuple(r) for r in models.instances(rows, ["conf", "cls"]).collect()] == [(1, 0, 0.5, 0), (1, 1, 0.6, 1)]
+    with pytest.raises(Exception, match="differ in length"):
+        models.instances(spark.createDataFrame([(1, [0.5], [0, 1])], "k int, conf array<double>, cls array<int>"), ["conf", "cls"]).collect()
+    jpegs = spark.createDataFrame([(b"\xff\xd8x\xff\xd9",), (b"\xff\xd8x",), (b"GIF",)], "c binary").select(models.mended_jpeg(F.col("c")).alias("m")).collect()
+    assert [(r.m.method, r.m.content and bytes(r.m.content)) for r in jpegs] == [("copy", b"\xff\xd8x\xff\xd9"), ("append_end", b"\xff\xd8x\xff\xd9"), ("re_encode", None)]
+
+
+def test_gates_of_records(spark):
+    images = spark.createDataFrame([("a", "1"), ("b", "2"), ("c", "3")], "stem string, sha256 string")
+    texts = spark.createDataFrame([("a",), ("b",), ("d",)], "stem string")
+    manifest = spark.createDataFrame([("a", "1"), ("b", "x"), ("b", "y"), ("c", "3")], "stem string, image_sha256 string")
+    records, found = sp.split_records(images, texts, manifest)
+    assert {r.stem for r in records.collect()} == {"a", "b"}
+    assert sorted((r.problem, r.stem) for r in found.collect()) == [("changed_image", "b"), ("contradicting_manifest", "b"), ("no_image", "d"), ("no_label", "c"), ("no_manifest", "d")]
+    assert va.same_twice(lambda: images) and not va.same_twice(lambda: spark.range(3).select(F.rand()))
+    lock = spark.createDataFrame([("ready", 3)], "status string, images int")
+    assert [tuple(r) for r in va.lock_problems(lock, {"status": "ready", "images": 4, "sha": "x"}).collect()] == [("images", "3", "4"), ("sha", None, "x")]
+    rows = spark.createDataFrame([("train", 2), ("val", 1)], "split string, masks int")
+    assert [r.split for r in va.split_counts(rows, "split", "masks", {"train": (1, 2), "val": (1, 2)}).collect()] == ["val"]
+    lines = spark.createDataFrame([("f", 1, "x"), ("f", 2, " "), ("f", 3, "y")], "file string, line_number int, raw_line string")
+    assert [r.instance for r in readers.instance_index(lines).orderBy("line_number").collect()] == [1, None, 2]
