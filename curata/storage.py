@@ -4,11 +4,13 @@ from __future__ import annotations
 
 import gc
 import tempfile
+import time
 import uuid
 
 from pyspark.sql import DataFrame, SparkSession
 
 _own: dict[str, str] = {}
+_swept: dict[str, float] = {}
 
 
 def scratch_root(spark: SparkSession) -> str:
@@ -27,20 +29,26 @@ def scratch_root(spark: SparkSession) -> str:
 def materialize(df: DataFrame, label: str = "step", **options: str) -> DataFrame:
     """Write ``df`` as Parquet in the shared folder and read it again, so that nothing upstream is computed twice."""
     spark = df.sparkSession
+    sweep(spark, every=2.0)
     path = f"{scratch_root(spark)}/curata-{label}-{uuid.uuid4().hex}"
     df.write.options(**options).parquet(path)
     out = spark.read.schema(df.schema).parquet(path)
     out._curata_path = path  # type: ignore[attr-defined]
     where = spark._jvm.org.apache.hadoop.fs.Path(path)
     where.getFileSystem(spark._jsc.hadoopConfiguration()).deleteOnExit(where)  # what reads it is a plan of this application
-    sweep(spark)
     return out
 
 
-def sweep(spark: SparkSession) -> None:
-    """Let the driver collect its garbage: only then do executors delete the shuffle files of a lineage that was cut."""
-    gc.collect()
-    spark._jvm.System.gc()
+def sweep(spark: SparkSession, every: float = 0.0) -> None:
+    """Let the driver collect its garbage: only then do executors delete the shuffle files of lineages that were cut.
+
+    Not more often than ``every`` seconds.  A job that has only just ended is
+    still held by its last event, so its files go at the next sweep.
+    """
+    if time.monotonic() - _swept.get("at", -1e9) >= every:
+        gc.collect()
+        spark._jvm.System.gc()
+        _swept["at"] = time.monotonic()
 
 
 def discard(df: DataFrame) -> None:
