@@ -25,6 +25,7 @@ each stays at a few megabytes; long texts are looked at in overlapping windows.
 
 from __future__ import annotations
 
+import time
 from collections.abc import Iterator
 
 import numpy as np
@@ -35,7 +36,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from curata.llm.common import as_bytes, chunks, map_arrow, tidy_group
-from curata.storage import materialize
+from curata.storage import discard, materialize, sweep
 
 LENGTH, GRAM = 50, 24
 LEFT = LENGTH - GRAM
@@ -550,6 +551,9 @@ def remove_repeats(docs: DataFrame, text: str = "text", carry: bool = False, cha
     wanted = materialize(dealt.groupBy("bucket").applyInArrow(tidy_group(shared), "g int, grams binary"), "anchors")
     seen = slim.groupBy("g").cogroup(wanted.groupBy("g")).applyInArrow(tidy_group(surround), "bucket int, g int, bytes binary, left binary, right binary, hash binary, low binary, high binary")
     judged = materialize(seen.groupBy("bucket").applyInArrow(tidy_group(judge), "g int, hash binary, owner binary"), "owners")
+    discard(wanted)
+    time.sleep(0.5)  # until the last job's events are through
+    sweep(spark)
     out = base.select("id", "g", "b", "row").groupBy("g").cogroup(judged.groupBy("g")).applyInArrow(tidy_group(remove), out_schema)
     return out if carry else out.drop("row")
 
