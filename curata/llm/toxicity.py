@@ -33,7 +33,7 @@ TRAIN_TOXIC, TRAIN_CLEAN, TRAIN_TEXT_BYTES = 800, 1600, 20_000
 STARTS, END = (4, 5), 3
 EDGE = ".,;:!?\"'()[]{}<>*&%$#-_"
 #: Documents that must hold a feature; steps of the fit.
-SUPPORT, STEPS = 3, 40
+SUPPORT, STEPS = 3, 60
 #: Penalty on the squared weight of a feature that toxic documents clearly have more often, and what is added where not at all.
 PENALTY, DOUBT = 0.3, 30.0
 #: Tokens of a row of the lattice that forward-backward walks through in step with all other rows.
@@ -159,6 +159,11 @@ class Field:
         get = self.weights.get
         return sum(get(f, 0.0) for f in own), get("p" + bare, 0.0), get("n" + bare, 0.0)
 
+    def background(self) -> float:
+        """The marginal of a token without features amid such tokens."""
+        n = 2 * WIDTH + 1
+        return float(Chain(np.full(n, self.bias), np.array([n]), self.transition).marginal[WIDTH])
+
     def score(self, summary: np.ndarray) -> np.ndarray:
         """Scores of documents by their ``summary`` [documents, 2]."""
         z = self.document[0] + summary @ np.array(self.document[1:])
@@ -169,7 +174,7 @@ class Reader:
     """Emissions and marginals of batches of texts; the values of tokens are kept between them, up to a bound."""
 
     def __init__(self, model: Field):
-        self.model = model
+        self.model, self.background = model, model.background()
         self.clear()
 
     def clear(self) -> None:
@@ -192,7 +197,7 @@ class Reader:
         """Per document its ``summary``; per token its marginal; the documents' sizes."""
         e, sizes = self.emissions(lists)
         chain = Chain(e, sizes, self.model.transition)
-        return summary(chain.marginal, sizes), chain.marginal, sizes
+        return summary(chain.marginal, sizes, self.background), chain.marginal, sizes
 
 
 def _emissions(table: np.ndarray, at: np.ndarray, sizes: np.ndarray, bias: float) -> np.ndarray:
@@ -206,13 +211,18 @@ def _emissions(table: np.ndarray, at: np.ndarray, sizes: np.ndarray, bias: float
     return e
 
 
-def summary(marginal: np.ndarray, sizes: np.ndarray) -> np.ndarray:
-    """Per document the logarithm of its expected toxic tokens and its largest marginal."""
+def summary(marginal: np.ndarray, sizes: np.ndarray, background: float) -> np.ndarray:
+    """Per document the logarithm of its mass above the background and its largest marginal.
+
+    The mass is the sum of squares of what marginals of all tokens are above
+    the background, so that a long text is not toxic by its length.
+    """
     out = np.column_stack([np.full(len(sizes), math.log(1e-3)), np.zeros(len(sizes))])
     some = np.flatnonzero(sizes)
     if len(some):
         starts = (np.cumsum(sizes) - sizes)[some]
-        out[some, 0] = np.log(np.add.reduceat(marginal, starts) + 1e-3)
+        above = (np.maximum(marginal - background, 0) / max(1 - background, 1e-9)) ** 2
+        out[some, 0] = np.log(np.add.reduceat(above, starts) + 1e-3)
         out[some, 1] = np.maximum.reduceat(marginal, starts)
     return out
 

@@ -344,8 +344,9 @@ def test_document_scores_match_all_paths():
         for k, w in enumerate(words):
             e.append(-1.5 + 2.0 * (w.lower() == "bad") + (w == "awful") - 0.5 * (w in ("I", "BAD")) + 0.5 * (k > 0 and words[k - 1] == "very") + 0.7 * (k + 1 < len(words) and words[k + 1] == "you"))
         toxic = all_paths(e, model.transition)[1] if e else np.zeros(0)
-        z = -1.0 + 0.6 * np.log(toxic.sum() + 1e-3) + 2.0 * toxic.max(initial=0)
-        assert model.score(toxicity.Reader(model).read([words])[0])[0] == pytest.approx(1 / (1 + np.exp(-z)))
+        calm = all_paths([-1.5] * 17, model.transition)[1][8]
+        z = -1.0 + 0.6 * np.log((np.maximum(toxic - calm, 0) ** 2).sum() / (1 - calm) ** 2 + 1e-3) + 2.0 * toxic.max(initial=0)
+        assert model.score(toxicity.Reader(model).read([words])[0])[0] == pytest.approx(1 / (1 + np.exp(-z)), rel=1e-4)
 
 
 def test_long_texts_are_scored_whole(spark):
