@@ -528,3 +528,36 @@ def test_whole_set_sketches_never_exceed_the_difference():
             apart = len(np.setxor1d(x, y))
             assert bits <= apart and bits % 2 == apart % 2
             assert apart > 40 or bits >= apart - 12
+
+
+CLASHING = "doc_id long, text string, lang string, source string, n_chars long, `a.b` string, b string, id int, block int, words int, row string, size int"
+
+
+@pytest.mark.parametrize("operator", [packing.pack, mixing.mixture_digest, mixing.mix, suffixes.repeats_digest, minhash.near_duplicates, maxent.score_documents, lambda d: toxicity.score(d, toxicity.Field())])
+def test_columns_of_any_name_and_repeated_rows(spark, operator):
+    rows = [(k, text(np.random.default_rng(k % 7), 30), "en", f"s{k % 2}", 1, "x", "y", 1, 2, 3, "r", 4) for k in (1, 1, 2, 8, 9)]
+    rows += [(None, "a b", None, None, None, None, None, None, None, None, None, None)] * 2
+    frame = spark.createDataFrame(rows, CLASHING)
+    found = operator(frame)
+    plain = operator(frame.select("doc_id", "text", "lang", "source", "n_chars"))
+    keep = [c for c in plain.columns if c in found.columns and c != "sequence_id"]
+    as_text = lambda df: sorted(repr([round(v, 6) if isinstance(v, float) else v for v in r]) for r in df.select(*keep).collect())
+    assert as_text(found) == as_text(plain) and as_text(found)
+
+
+def test_vectors_with_other_columns(spark):
+    rows = [(k, [float(np.cos(k)), float(np.sin(k)), 1.0], 0, "x", 1, 2, 3) for k in (0, 1, 2, 20, 20, 40)]
+    frame = spark.createDataFrame(rows, "vec_id long, embedding array<double>, label int, v string, rep int, dim int, slot int")
+    plain = frame.select("vec_id", "embedding", "label")
+    for operator in (hnsw.near_duplicate_vectors, ann.search):
+        assert sorted(map(tuple, operator(frame).collect())) == sorted(map(tuple, operator(plain).collect()))
+
+
+def test_revisits_with_ties_and_repeats(spark):
+    schema = "record_id long, url string, ts long, kind string, status int, etag string, last_modified string, headers map<string,string>, payload_ref string, curl string, part int, `a.b` int"
+    one = lambda k, ts, kind, etag, ref: (k, "http://a.com/x", ts, kind, 200 if kind == "response" else 304, etag, None, None, ref, "c", 9, 1)
+    rows = [one(1, 5, "response", "e", "first"), one(2, 5, "response", "e", "second"), one(3, 5, "revisit", "e", None), one(4, 6, "revisit", "e", None), one(4, 6, "revisit", "e", None), one(5, 6, "response", "e", "later")]
+    rows += [one(6, 90_000, "revisit", "e", None), one(7, 200_000, "revisit", None, None)]
+    out = sorted((r.record_id, r.outcome, r.response_id, r.payload_ref) for r in warc.resolve_revisits(spark.createDataFrame(rows, schema)).collect())
+    # of equal times the larger id, and only what is strictly earlier
+    assert out == [(3, "orphan", None, None), (4, "resolved", 2, "second"), (4, "resolved", 2, "second"), (6, "resolved", 5, "later"), (7, "unconfirmed", 5, None)]
