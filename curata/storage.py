@@ -42,13 +42,16 @@ def materialize(df: DataFrame, label: str = "step", **options: str) -> DataFrame
 def sweep(spark: SparkSession, every: float = 0.0) -> None:
     """Let the driver collect its garbage: only then do executors delete the shuffle files of lineages that were cut.
 
-    Not more often than ``every`` seconds.  A job that has only just ended is
-    still held by its last event, so its files go at the next sweep.
+    Not more often than ``every`` seconds.  What a job has just left is held by
+    its last events at first, so the collector runs twice.
     """
-    if time.monotonic() - _swept.get("at", -1e9) >= every:
-        gc.collect()
+    if time.monotonic() - _swept.get("at", -1e9) < every:
+        return
+    gc.collect()
+    for _ in range(2):
         spark._jvm.System.gc()
-        _swept["at"] = time.monotonic()
+        time.sleep(0.3)
+    _swept["at"] = time.monotonic()
 
 
 def discard(df: DataFrame) -> None:
