@@ -25,7 +25,6 @@ each stays at a few megabytes; long texts are looked at in overlapping windows.
 
 from __future__ import annotations
 
-import time
 from collections.abc import Iterator
 
 import numpy as np
@@ -547,12 +546,14 @@ def remove_repeats(docs: DataFrame, text: str = "text", carry: bool = False, cha
             done.append(pa.table([pa.array(ids, pa.int64()), pa.array(sizes), pa.array(removed, pa.int64()), pa.array(spans, pa.int64()), pa.array(kept, pa.binary()), batch.column("row")], out_schema.names))
         return pa.concat_tables(done)
 
-    dealt = map_arrow(slim, deal, "bucket int, grams binary, ids binary, groups binary")
-    wanted = materialize(dealt.groupBy("bucket").applyInArrow(tidy_group(shared), "g int, grams binary"), "anchors")
+    dealt = map_arrow(slim, deal, "bucket int, grams binary, ids binary, groups binary").groupBy("bucket")
+    wanted = materialize(dealt.applyInArrow(tidy_group(shared), "g int, grams binary"), "anchors")
+    del dealt
+    sweep(spark)
     seen = slim.groupBy("g").cogroup(wanted.groupBy("g")).applyInArrow(tidy_group(surround), "bucket int, g int, bytes binary, left binary, right binary, hash binary, low binary, high binary")
     judged = materialize(seen.groupBy("bucket").applyInArrow(tidy_group(judge), "g int, hash binary, owner binary"), "owners")
+    del seen
     discard(wanted)
-    time.sleep(0.5)  # until the last job's events are through
     sweep(spark)
     out = base.select("id", "g", "b", "row").groupBy("g").cogroup(judged.groupBy("g")).applyInArrow(tidy_group(remove), out_schema)
     return out if carry else out.drop("row")
