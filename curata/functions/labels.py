@@ -21,7 +21,7 @@ def number(token: Column) -> Column:
     """A token's value: null if it is no number, NaN for ``nan``, infinite for ``inf`` and for what is too large."""
     plain = F.when(token.rlike(_NUMBER), F.regexp_replace(token, "_", "").try_cast("double"))
     sign = F.when(token.startswith("-"), -1.0).otherwise(1.0)
-    return F.when(token.rlike(r"(?i)^[+-]?nan$"), float("nan")).when(token.rlike(_NOT_FINITE), sign * float("inf")).otherwise(plain)
+    return F.coalesce(plain, F.when(token.rlike(r"(?i)^[+-]?nan$"), float("nan")).when(token.rlike(_NOT_FINITE), sign * float("inf")))
 
 
 def looks_joined(token: Column) -> Column:
