@@ -32,7 +32,7 @@ from pyspark.sql import functions as F
 from curata.llm.common import as_bytes, id_bucket, tidy, tidy_group
 from curata.storage import materialize
 
-CLASSES = 32
+CLASSES = 16
 #: Hashed values of each of the three features.
 SLOTS = 1 << 13
 FEATURES = 3
@@ -62,7 +62,7 @@ def _unpack(b: bytes, kind) -> np.ndarray:
 
 
 def word_code(word: bytes) -> int:
-    """64 bits of a lower-cased word: 59 of its hash and, in the lowest five, its class by its last two letters or digits."""
+    """64 bits of a lower-cased word: those of its hash and, in the lowest four, its class by its last two letters or digits."""
     tail = word.rstrip(b".,;:!?\"')]}")[-2:]
     return (xxhash.xxh3_64_intdigest(word) & ~(CLASSES - 1)) | xxhash.xxh32_intdigest(tail) % (CLASSES - 1)
 
@@ -92,7 +92,7 @@ def grams(codes: np.ndarray, sizes: np.ndarray, k: int) -> np.ndarray:
     one, two = _before(codes, sizes)
     context = (two, one, one * _MUL + _scramble(two))[k]
     slot = _scramble(_scramble(context * _MUL + np.uint64(k)) * _MUL + (codes & _LOW))
-    return (slot >> WORD_BITS << WORD_BITS) | (codes >> np.uint64(5)) & ((np.uint64(1) << WORD_BITS) - np.uint64(1))
+    return (slot >> WORD_BITS << WORD_BITS) | (codes >> np.uint64(CLASSES.bit_length() - 1)) & ((np.uint64(1) << WORD_BITS) - np.uint64(1))
 
 
 def _cuts(keys: np.ndarray, parts: int) -> tuple[np.ndarray, np.ndarray]:
@@ -113,13 +113,18 @@ def contexts(codes: np.ndarray, sizes: np.ndarray) -> np.ndarray:
     return out
 
 
-def class_log(weights: np.ndarray, features: np.ndarray) -> np.ndarray:
-    """Natural logarithms of the class probabilities, [tokens, classes]; the last row of the weights is the bias."""
+def _scores(weights: np.ndarray, features: np.ndarray) -> np.ndarray:
+    """Sums of the classes' weights, [tokens, classes]; the last row of the weights is the bias."""
     z = weights[features[:, 0]]
     z += weights[features[:, 1]]
     z += weights[features[:, 2]]
     z += weights[-1]
-    np.clip(z, -60, 60, out=z)  # far beyond what a step can reach; exp stays finite without a maximum per token
+    return np.clip(z, -60, 60, out=z)  # far beyond what a step can reach; exp stays finite without a maximum per token
+
+
+def class_log(weights: np.ndarray, features: np.ndarray) -> np.ndarray:
+    """Natural logarithms of the class probabilities, [tokens, classes]."""
+    z = _scores(weights, features)
     z -= np.log(np.exp(z) @ np.ones(z.shape[1], z.dtype))[:, None]
     return z
 
@@ -128,7 +133,8 @@ def train_on(weights: np.ndarray, square: np.ndarray, touched: np.ndarray, featu
     """Gradient steps of ``STEP`` tokens each, with per-weight step sizes, in place."""
     for s in range(0, len(features), STEP):
         f, c = features[s : s + STEP], classes[s : s + STEP]
-        miss = -np.exp(class_log(weights, f))
+        miss = np.exp(_scores(weights, f))
+        miss *= (-1 / (miss @ np.ones(miss.shape[1], miss.dtype)))[:, None]
         miss[np.arange(len(c)), c] += 1
         for k in range(FEATURES):
             order = np.argsort((f[:, k] - k * SLOTS).astype(np.uint16), kind="stable")  # 16 bits are sorted by radix
@@ -315,7 +321,7 @@ def score_documents(docs: DataFrame, text: str = "text", folds: int = 7, held: i
     crc32(doc_id) mod ``folds`` is ``held`` are scored but neither counted nor
     trained on; a null id counts as the empty text there.  ``base_score`` is the
     add-one unigram log10 probability, ``score`` the model's.  Words are told
-    apart by 59-bit hashes; contexts share 2^40 slots with the classes, and in a
+    apart by 60-bit hashes; contexts share 2^40 slots with the classes, and in a
     slot words are told apart by 24 bits.  Repeated rows are documents of their own, other
     columns are ignored, an empty table gives no rows.
     """
