@@ -29,7 +29,7 @@ def scratch_root(spark: SparkSession) -> str:
 def materialize(df: DataFrame, label: str = "step", **options: str) -> DataFrame:
     """Write ``df`` as Parquet in the shared folder and read it again, so that nothing upstream is computed twice."""
     spark = df.sparkSession
-    sweep(spark, every=2.0)
+    sweep(spark, every=10.0)
     path = f"{scratch_root(spark)}/curata-{label}-{uuid.uuid4().hex}"
     df.write.options(**options).parquet(path)
     out = spark.read.schema(df.schema).parquet(path)
