@@ -172,3 +172,24 @@ def center_proximity(x: Column, y: Column, image_width: Column, image_height: Co
     cx, cy = (image_width - 1) / 2.0, (image_height - 1) / 2.0
     far = F.hypot(x - cx, y - cy) / F.hypot(F.greatest(cx, F.lit(0.5)), F.greatest(cy, F.lit(0.5)))
     return F.coalesce(F.greatest(F.lit(0.0), F.least(F.lit(1.0), 1.0 - far)), F.lit(0.0))
+
+
+def crop_plan(box: Column, image_width: Column, image_height: Column, min_area_ratio: float, margin: float, target: tuple[int, int], otherwise: str = "center_crop", center_share: float = 0.8) -> Column:
+    """``crop, fitted, fallback, note``: where an image is cut and how the piece is fitted into ``target`` (width, height).
+
+    A valid box gets its margin.  Else, by ``otherwise``, the middle of the
+    image is taken (``center_crop``), all of it (``full_image``) or nothing
+    (``reject``), and the note says why.
+    """
+    if otherwise not in ("center_crop", "full_image", "reject"):
+        raise ValueError(f"unknown fallback: {otherwise}")
+    whole = _box([F.lit(0), F.lit(0), image_width, image_height])
+    spare = {"center_crop": center_crop(image_width, image_height, center_share), "full_image": whole, "reject": F.lit(None).cast("struct<x1:int,y1:int,x2:int,y2:int>")}[otherwise]
+
+    def planned(v: Column) -> Column:
+        crop = F.when(v["detected"], expand(box, image_width, image_height, margin)).otherwise(spare)
+        note = F.when(~v["detected"], v["reason"]).when(needs_clipping(box, image_width, image_height), "clipped_to_image")
+        fitted = lambda c: F.when(c.isNotNull(), letterbox(width(c), height(c), *target))
+        return let(crop, lambda c: F.struct(c.alias("crop"), fitted(c).alias("fitted"), (~v["detected"]).alias("fallback"), note.alias("note")))
+
+    return let(validate(box, image_width, image_height, min_area_ratio), planned)

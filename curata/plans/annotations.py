@@ -4,8 +4,9 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
-from curata.functions import strings
+from curata.functions import boxes, strings
 from curata.operators import annotations as an
+from curata.operators import manifests as mf
 from curata.operators import masks
 from curata.plans.registry import query, table
 
@@ -89,3 +90,65 @@ def decision_reasons(spark, sf_dir):
         strings.resolve_path(path, F.when(k % 2 == 0, "/root/img/").otherwise(""), F.lit("/manifests")).alias("path"),
         strings.json_or_column(evidence, "n", F.col("o_orderstatus")).alias("evidence"),
     )
+
+
+@query(
+    "report_flows",
+    """WITH m AS (SELECT coalesce(l_returnflag, '') AS s, coalesce(l_linestatus, '') AS c, CASE WHEN l_linenumber % 3 = 0 THEN 'exclude_lesion' ELSE 'include_after_remap' END AS d FROM lineitem)
+    SELECT 'source' AS section, s || '|' || d AS key, count(*) AS n FROM m GROUP BY ALL UNION ALL SELECT 'class', c || '|' || d, count(*) FROM m GROUP BY ALL UNION ALL SELECT 'decision', d, count(*) FROM m GROUP BY ALL""",
+)
+def report_flows(spark, sf_dir):
+    lines = table(spark, sf_dir, "lineitem").withColumn("d", F.when(F.col("l_linenumber") % 3 == 0, "exclude_lesion").otherwise("include_after_remap"))
+    return mf.roll_ups(lines, {"source": ["l_returnflag", "d"], "class": ["l_linestatus", "d"], "decision": ["d"]})
+
+
+@query(
+    "split_manifest",
+    """SELECT CASE WHEN p_partkey % 20 < 14 THEN 'train' WHEN p_partkey % 20 < 17 THEN 'val' ELSE 'test' END AS split, p_brand AS group_id, p_type AS source_dataset, 'P' || p_partkey || '.jpg' AS filename, 'all/images/P' || p_partkey || '.jpg' AS source_image_path, 'all/labels/P' || p_partkey || '.txt' AS source_label_path,
+    'images/' || split || '/P' || p_partkey || '.jpg' AS materialized_image_path, 'labels/' || split || '/P' || p_partkey || '.txt' AS materialized_label_path, printf('%.12f', least(p_size / 64.0::DOUBLE, 0.25)) AS mask_area_min, printf('%.12f', greatest(p_size / 64.0::DOUBLE, 0.25)) AS mask_area_max,
+    printf('%.12f', (p_size / 64.0::DOUBLE + 0.25) / 2) AS mask_area_mean, 'copy' AS materialization_method FROM part""",
+)
+def split_manifest(spark, sf_dir):
+    k = F.col("p_partkey") % 20
+    records = table(spark, sf_dir, "part").select(
+        F.when(k < 14, "train").when(k < 17, "val").otherwise("test").alias("split"),
+        F.col("p_brand").alias("group_id"),
+        F.col("p_type").alias("source_dataset"),
+        F.concat(F.lit("P"), F.col("p_partkey").cast("string"), F.lit(".jpg")).alias("filename"),
+        F.array((F.col("p_size") / 64.0), F.lit(0.25)).alias("mask_areas"),
+    )
+    return mf.canonical_order(mf.split_rows(records), "split", "filename")
+
+
+@query(
+    "method_counts",
+    "SELECT count(*) AS images, count(*) FILTER (WHERE o_orderstatus = 'F') AS normalized, count(*) FILTER (WHERE o_orderkey % 3 = 0) AS mended, count(*) FILTER (WHERE o_orderkey % 3 = 1) AS reencoded FROM orders WHERE o_orderkey % 5 < 4",
+)
+def method_counts(spark, sf_dir):
+    k = F.col("o_orderkey")
+    manifest = table(spark, sf_dir, "orders").select(
+        F.concat(F.lit("all/images/"), k.cast("string"), F.lit(".jpg")).alias("derived_path"),
+        F.when(F.col("o_orderstatus") == "F", "normalized").otherwise("unchanged").alias("status"),
+        F.when(k % 3 == 0, "append_ffd9").when(k % 3 == 1, "reencode_quality_95").otherwise("copy").alias("method"),
+    )
+    images = table(spark, sf_dir, "orders").where(k % 5 < 4).select(F.concat(k.cast("string"), F.lit(".jpg")).alias("name"))
+    kept, _ = mf.surviving(manifest, "derived_path", images, "name")
+    return mf.method_counts(kept, "method", "status")
+
+
+@query(
+    "crop_plans",
+    """WITH b AS (SELECT l_orderkey, l_linenumber, l_quantity::DOUBLE * 7.3 - 40 AS x1, l_discount::DOUBLE * 2000 - 20.5 AS y1, l_quantity::DOUBLE * 7.3 - 40 + (l_partkey % 300) - 20.25 AS x2, l_discount::DOUBLE * 2000 - 20.5 + (l_suppkey % 90) AS y2, 300 AS w, 200 AS h FROM lineitem),
+    c AS (SELECT *, least(greatest(floor(x1), 0), w)::INTEGER AS a1, least(greatest(floor(y1), 0), h)::INTEGER AS b1, least(greatest(ceil(x2), 0), w)::INTEGER AS a2, least(greatest(ceil(y2), 0), h)::INTEGER AS b2 FROM b),
+    v AS (SELECT *, CASE WHEN x2 <= x1 THEN 'x_inverted' WHEN y2 <= y1 THEN 'y_inverted' WHEN a2 <= a1 OR b2 <= b1 THEN 'outside_image' WHEN (a2 - a1) * (b2 - b1) / (w * h)::DOUBLE < 0.02 THEN 'too_small' END AS r FROM c),
+    p AS (SELECT *, CASE WHEN r IS NULL THEN greatest(0, floor(a1 - (a2 - a1) * 0.1)) ELSE 30 END::INTEGER AS c1, CASE WHEN r IS NULL THEN greatest(0, floor(b1 - (b2 - b1) * 0.1)) ELSE 20 END::INTEGER AS d1, CASE WHEN r IS NULL THEN least(w, ceil(a2 + (a2 - a1) * 0.1)) ELSE 270 END::INTEGER AS c2, CASE WHEN r IS NULL THEN least(h, ceil(b2 + (b2 - b1) * 0.1)) ELSE 180 END::INTEGER AS d2 FROM v)
+    SELECT l_orderkey, l_linenumber, c1 AS x1, d1 AS y1, c2 AS x2, d2 AS y2, r IS NOT NULL AS fallback, CASE WHEN r IS NOT NULL THEN r WHEN floor(x1) <> a1 OR floor(y1) <> b1 OR ceil(x2) <> a2 OR ceil(y2) <> b2 THEN 'clipped_to_image' END AS note,
+        least(224, greatest(1, round_even((c2 - c1) * least(224.0::DOUBLE / (c2 - c1), 224.0::DOUBLE / (d2 - d1)), 0)))::INTEGER AS width FROM p""",
+)
+def crop_plans(spark, sf_dir):
+    q, d = F.col("l_quantity").cast("double"), F.col("l_discount").cast("double")
+    x1, y1 = q * 7.3 - 40, d * 2000 - 20.5
+    box = F.struct(x1.alias("x1"), y1.alias("y1"), (x1 + F.col("l_partkey") % 300 - 20.25).alias("x2"), (y1 + F.col("l_suppkey") % 90).alias("y2"))
+    rows = table(spark, sf_dir, "lineitem").select("l_orderkey", "l_linenumber", box.alias("b"))
+    plan = boxes.crop_plan(F.col("b"), F.lit(300), F.lit(200), 0.02, 0.1, (224, 224))
+    return rows.select("l_orderkey", "l_linenumber", plan.alias("p")).select("l_orderkey", "l_linenumber", "p.crop.*", "p.fallback", "p.note", "p.fitted.width")

@@ -60,6 +60,16 @@ def unique_reviews(spark, sf_dir):
     return both.select("review_key", "reviewer_decision", "review_status", "origin")
 
 
+@query(
+    "decisions_fingerprint",
+    f"""WITH u AS (SELECT *, 'review_' || left(sha256(review_key), 16) AS case_id FROM ({_NORMAL}) QUALIFY row_number() OVER (PARTITION BY review_key ORDER BY position DESC) = 1)
+    SELECT substr(case_id, 8, 2) AS part, count(*) AS unique_cases, sha256('[' || string_agg('{{"review_case_id":"' || case_id || '","review_key":"' || review_key || '","review_reason":"' || review_reason || '","review_status":"' || review_status || '","reviewer_decision":"' || reviewer_decision || '"}}', ',' ORDER BY review_key) || ']') AS sha256 FROM u GROUP BY 1""",
+)
+def decisions_fingerprint(spark, sf_dir):
+    rows = reviews.normalised(_general(spark, sf_dir), "general")
+    return reviews.decisions_fingerprint(reviews.unique_reviews(rows.limit(0), rows, "position"))
+
+
 _MANIFEST = "SELECT l_orderkey, l_linenumber, l_linenumber % 2 AS class_id, CASE WHEN min(l_returnflag) = 'A' THEN 'exclude_lesion' WHEN l_linenumber % 4 = 0 THEN 'recover_from_coco' ELSE 'include_after_remap' END AS decision FROM lineitem GROUP BY l_orderkey, l_linenumber"
 _SAID = """SELECT o_orderkey, lpad(o_orderkey::VARCHAR, 12, '0') || '|' || p AS review_key, CASE WHEN (o_orderkey + p) % 5 = 0 THEN NULL ELSE 1 + (o_orderkey + p) % 4 END AS line, CASE WHEN (o_orderkey + p) % 3 = 0 THEN NULL ELSE (o_orderkey + p) % 2 END AS class_id,
     CASE (o_orderkey + p) % 4 WHEN 0 THEN 'approved' WHEN 1 THEN 'exclude' WHEN 2 THEN 'needs_reannotation' ELSE 'exclude' END AS reviewer_decision, 'r' || p AS review_reason FROM orders, (SELECT unnest([0, 1]) AS p) WHERE o_orderpriority < '3'"""

@@ -8,6 +8,7 @@ from pyspark.sql import functions as F
 from curata.functions import boxes, hashing, labels, strings
 from curata.functions import geometry as geo
 from curata.operators import evaluation as ev
+from curata.operators import manifests as mf
 from curata.operators import masks, models, regions
 from curata.operators import relational as rel
 from curata.operators import splitting as sp
@@ -393,3 +394,19 @@ def test_gates_of_records(spark):
     assert [r.split for r in va.split_counts(rows, "split", "masks", {"train": (1, 2), "val": (1, 2)}).collect()] == ["val"]
     lines = spark.createDataFrame([("f", 1, "x"), ("f", 2, " "), ("f", 3, "y")], "file string, line_number int, raw_line string")
     assert [r.instance for r in readers.instance_index(lines).orderBy("line_number").collect()] == [1, None, 2]
+
+
+def test_manifests(spark):
+    rows = spark.createDataFrame([("val", "B.jpg"), ("train", "b.jpg"), ("train", "A.jpg"), ("other", "a")], "split string, name string")
+    assert [tuple(r) for r in mf.canonical_order(rows, "split", "name").collect()] == [("train", "A.jpg"), ("train", "b.jpg"), ("val", "B.jpg"), ("other", "a")]
+    keys = mf.held_out_keys(spark.createDataFrame([("x/A.JPG", "1"), ("y/a.jpg", None), ("", "2")], "p string, d string"), "p", "d")
+    assert {k: sorted(r[0] for r in v.collect()) for k, v in keys.items()} == {"path": ["x/a.jpg", "y/a.jpg"], "name": ["a.jpg"], "digest": ["1", "2"]}
+    manifest = spark.createDataFrame([("d/a.jpg",), ("d/b.jpg",), ("e/b.jpg",), ("d/z.jpg",)], "derived string")
+    kept, wrong = mf.surviving(manifest, "derived", spark.createDataFrame([("a.jpg",), ("b.jpg",), ("c.jpg",)], "name string"), "name")
+    assert kept.count() == 3 and {tuple(r) for r in wrong.collect()} == {("b.jpg", 2), ("c.jpg", 0)}
+    packages = spark.createDataFrame([(5, "a"), (7, "b"), (7, "c")], "time int, name string")
+    assert mf.latest(packages, "time", "name").first().name == "c" and mf.latest(packages.limit(0), "time", "name").count() == 0
+    good, bad = mf.payload([spark.createDataFrame([("a/x",), ("a/.git/y",)], "path string"), spark.createDataFrame([("a/x",), ("b",)], "path string")], "path", [".git"])
+    assert [r.path for r in good.collect()] == ["a/x", "b"] and [r.path for r in bad.collect()] == ["a/.git/y"]
+    rejected = spark.range(1).select(boxes.crop_plan(F.struct(F.lit(5.0).alias("x1"), F.lit(5.0).alias("y1"), F.lit(4.0).alias("x2"), F.lit(9.0).alias("y2")), F.lit(20), F.lit(10), 0.01, 0.1, (8, 8), "reject").alias("p")).first().p
+    assert (rejected.crop, rejected.fitted, rejected.fallback, rejected.note) == (None, None, True, "x_inverted")
