@@ -27,7 +27,7 @@ BOOKS, WORDS, BEAM = 16, 256, 8
 #: Rows of an index block, queries of a query block.
 BLOCK_ROWS, QUERY_ROWS = 4096, 512
 #: Rows of a block that are reranked for each query.
-RERANK = 96
+RERANK = 192
 #: Bytes of codebooks up to which they are broadcast.
 BROADCAST_BYTES = 64 << 20
 
@@ -57,9 +57,10 @@ def fit_books(sample: np.ndarray, books: int = BOOKS, words: int = WORDS, rounds
 
 
 def encode(x: np.ndarray, books: np.ndarray, beam: int = BEAM) -> tuple[np.ndarray, np.ndarray]:
-    """Codes [n, books] by beam search over the books in turn, and the reconstructions."""
+    """Codes [n, books] by beam search over the books in turn, and the reconstructions; in single precision, as they only choose candidates."""
     n, m, k = len(x), len(books), books.shape[1]
-    rest = x[:, None, :].astype(np.float64)
+    books = books.astype(np.float32)
+    rest = x[:, None, :].astype(np.float32)
     codes = np.zeros((n, 1, 0), np.int64)
     for b in range(m):
         size = (books[b] ** 2).sum(1)
