@@ -176,28 +176,43 @@ class Graph:
         return self.search_layer(q, start, 0, beam)
 
 
+def _turned(x: np.ndarray, cosine: float) -> np.ndarray:
+    """Unit vectors turned in some direction until their cosine with the given ones is ``cosine``."""
+    away = np.random.default_rng(5).normal(size=x.shape)
+    away -= (away * x).sum(1, keepdims=True) * x
+    size = np.linalg.norm(away, axis=1, keepdims=True)
+    return cosine * x + np.sqrt(max(0.0, 1 - cosine**2)) * np.divide(away, size, out=np.zeros_like(away), where=size > 0)
+
+
 def linked(graph: Graph, exact: np.ndarray, q: np.ndarray, q_exact: np.ndarray, threshold: float) -> tuple[np.ndarray, np.ndarray]:
     """All (query number, row) with cosine >= ``threshold``, verified in double precision.
 
     Starts with ``FIRST_BEAM``.  A query whose beam is full of links is asked
-    again with twice the beam; and if the audit misses a link, or the nearest
-    row of a sampled query without links, all are.  At the width of the shard
-    the walk is replaced by the scan it has become.
+    again with twice the beam.  The audit compares the links of sampled queries
+    with brute force, and since those may have none it also asks for sampled
+    rows of the shard by probes that are turned away from them as far as a link
+    may be.  If either misses a link, all queries are asked again with a beam
+    that passes.  At the width of the shard the walk is replaced by the scan it
+    has become.
     """
     n, m = len(q), len(exact)
     if not n or not m:
         return np.zeros(0, np.int64), np.zeros(0, np.int64)
     sample = np.unique(np.linspace(0, n - 1, min(AUDIT, n)).astype(int))
-    cosine = q_exact[sample] @ exact.T
-    truth = cosine >= threshold
-    alone = ~(truth & (cosine < 1 - 1e-12)).any(1)  # a vector of this shard links itself
-    nearest = np.where(truth, -np.inf, cosine)[alone].argmax(1)
+    truth = q_exact[sample] @ exact.T >= threshold
+    floor = threshold - MARGIN
+    goals = np.unique(np.linspace(0, m - 1, min(AUDIT, m)).astype(int))
+    probes = _turned(exact[goals], threshold).astype(np.float32)
+
+    def reaches(beam: int) -> bool:
+        ids, sims = graph.search(probes, beam)
+        found = (ids == goals[:, None]).any(1) | (sims[:, -1] >= floor)  # a full beam would be widened
+        return found.sum() >= AUDIT_RECALL * len(goals)
+
     beam, pending = FIRST_BEAM, np.arange(n)
     width = beam  # of all queries; those full of links go further
-    reaches = lambda beam: (graph.search(q[sample[alone]], beam)[0] == nearest[:, None]).any(1).sum() >= AUDIT_RECALL * len(nearest)
     got_q, got_r = [], []
     audited = False
-    floor = threshold - MARGIN
     while len(pending):
         later = []
         for s in range(0, len(pending), 256):

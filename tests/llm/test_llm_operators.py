@@ -390,7 +390,7 @@ def test_linked_vectors_match_brute_force(spark):
     assert hnsw.near_duplicate_vectors(frame.limit(0)).count() == 0
 
 
-def test_audit_without_links_looks_at_nearest_rows():
+def test_audit_without_links_asks_for_the_shards_own_rows():
     rng = np.random.default_rng(8)
     x, q = (v / np.linalg.norm(v, axis=1, keepdims=True) for v in rng.normal(size=(2, 300, 64)))
     q[3] = x[200]  # not sampled, and no walk from row 0 gets beyond row 149
