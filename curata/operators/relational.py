@@ -48,13 +48,24 @@ def duplicate_groups(df: DataFrame, key: str) -> DataFrame:
     return numbered(df.groupBy(key).agg(F.count("*").alias("size")).where("size > 1"), [key], "number")
 
 
-def _slices(df: DataFrame, key: str, value: str, edges: Sequence[int], k: str, v: str) -> DataFrame:
-    def part(i: int) -> Column:
-        width = edges[i + 1] - edges[i]
-        return F.shiftrightunsigned(F.col(value), edges[i]).bitwiseAND(F.lit((1 << width) - 1 if width < 63 else -1))
+def _near_values(left: DataFrame, right: DataFrame, most: int, bits: int) -> DataFrame:
+    """``x, y, distance`` of distinct values x of left and y of right that differ in at most ``most`` bits."""
+    n = most + 1
+    edges = [round(k * bits / n) for k in range(n + 1)]
+
+    def cut(v: Column, k: int) -> Column:
+        width = edges[k + 1] - edges[k]
+        return F.shiftrightunsigned(v, edges[k]).bitwiseAND(F.lit((1 << width) - 1 if width < 63 else -1))
 
-    slices = F.array(*[F.struct(F.lit(i).alias("slice"), part(i).alias("bits")) for i in range(len(edges) - 1)])
-    return df.select(F.col(key).alias(k), F.col(value).alias(v), F.inline(slices))
+    def sliced(df: DataFrame, name: str) -> DataFrame:
+        return df.select(name, F.inline(F.array(*[F.struct(F.lit(k).alias("slice"), cut(F.col(name), k).alias("bits")) for k in range(n)])))
+
+    differ = F.col("x").bitwiseXOR(F.col("y"))
+    first = F.lit(True)
+    for k in range(n):
+        first = first & ((F.lit(k) >= F.col("slice")) | (cut(differ, k) != 0))
+    near = sliced(left, "x").join(sliced(right, "y"), ["slice", "bits"]).where((F.bit_count(differ) <= most) & first)
+    return near.select("x", "y", hamming(F.col("x"), F.col("y")).alias("distance"))
 
 
 def hamming_join(left: DataFrame, right: DataFrame, key: str, value: str, most: int, bits: int = 64, once: bool = False) -> DataFrame:
@@ -62,32 +73,21 @@ def hamming_join(left: DataFrame, right: DataFrame, key: str, value: str, most:
 
     Pigeonhole: of ``most + 1`` slices of the value one must be equal, so an
     equi-join on (slice number, slice) finds every pair; the distance is the
-    residual condition and a pair is kept at its first equal slice only.  With
-    ``once`` only pairs ``a < b`` are given.  A slice has ``bits / (most + 1)``
-    bits, so a distance of 4 in 64 bits leaves one in 8192 pairs to compare;
-    keys with equal values meet in one slice each, however many they are.
+    residual condition and a pair is kept at its first equal slice only.  A
+    slice has ``bits / (most + 1)`` bits, so a distance of 4 in 64 bits leaves
+    one in 8192 pairs to compare.  Only distinct values are compared; keys come
+    in at the end, where the pairs asked for are listed.  With ``once`` only
+    pairs ``a < b`` are given.  Null values are near nothing.
     """
-    n = most + 1
-    edges = [round(k * bits / n) for k in range(n + 1)]
-    x = _slices(left, key, value, edges, "a", "x")
-    y = _slices(right, key, value, edges, "b", "y")
-    differ = F.col("x").bitwiseXOR(F.col("y"))
-    first = F.lit(True)
-    for k in range(n):
-        width = edges[k + 1] - edges[k]
-        mask = F.lit((1 << width) - 1 if width < 63 else -1)
-        first = first & ((F.lit(k) >= F.col("slice")) | (F.shiftrightunsigned(differ, edges[k]).bitwiseAND(mask) != 0))
-    near = x.join(y, ["slice", "bits"]).where((hamming(F.col("x"), F.col("y")) <= most) & first)
-    near = near.where("a < b") if once else near
-    return near.select("a", "b", hamming(F.col("x"), F.col("y")).alias("distance"))
+    x = left.where(F.col(value).isNotNull()).select(F.col(key).alias("a"), F.col(value).alias("x"))
+    y = right.where(F.col(value).isNotNull()).select(F.col(key).alias("b"), F.col(value).alias("y"))
+    near = _near_values(x.select("x").distinct(), y.select("y").distinct(), most, bits)
+    pairs = near.join(x, "x").join(y, "y")
+    return (pairs.where("a < b") if once else pairs).select("a", "b", "distance")
 
 
 def hamming_pairs(df: DataFrame, key: str, value: str, most: int, bits: int = 64) -> DataFrame:
-    """Pairs ``a < b`` of keys whose values differ in at most ``most`` bits, and the distance.
-
-    Equal values are one before anything is joined: of the keys that share one
-    only the pairs asked for are listed at the end.
-    """
+    """Pairs ``a < b`` of keys whose values differ in at most ``most`` bits, and the distance."""
     return hamming_join(df, df, key, value, most, bits, once=True)
 
 
