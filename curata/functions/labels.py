@@ -12,6 +12,8 @@ from curata.functions.strings import tokens
 #: What is read as a number: digits may have single underscores between them, as in 1_000.
 _DIGITS = "[0-9](?:_?[0-9])*"
 _NUMBER = rf"^[+-]?(?:{_DIGITS}(?:\.(?:{_DIGITS})?)?|\.{_DIGITS})(?:[eE][+-]?{_DIGITS})?$"
+#: Without underscores; what it lets through beyond numbers, as 1.2.3, cannot be cast.
+_PLAIN = r"^[+-]?[0-9.]+(?:[eE][+-]?[0-9]+)?$"
 _NOT_FINITE = r"(?i)^[+-]?(?:nan|inf|infinity)$"
 _JOINED = r"^[+-]?(?:[0-9]*\.[0-9]+){2,}$"
 _ISSUE = "struct<issue:string,field:int,token:string>"
@@ -19,7 +21,7 @@ _ISSUE = "struct<issue:string,field:int,token:string>"
 
 def number(token: Column) -> Column:
     """A token's value: null if it is no number, NaN for ``nan``, infinite for ``inf`` and for what is too large."""
-    plain = F.when(token.rlike(_NUMBER), F.regexp_replace(token, "_", "").try_cast("double"))
+    plain = F.when(token.rlike(_PLAIN), token.try_cast("double")).when(F.contains(token, F.lit("_")) & token.rlike(_NUMBER), F.regexp_replace(token, "_", "").try_cast("double"))
     sign = F.when(token.startswith("-"), -1.0).otherwise(1.0)
     return F.coalesce(plain, F.when(token.rlike(r"(?i)^[+-]?nan$"), float("nan")).when(token.rlike(_NOT_FINITE), sign * float("inf")))
 
@@ -121,9 +123,9 @@ def classify_line(line: Column) -> Column:
     def of_fields(fields: Column) -> Column:
         first = F.get(fields, F.lit(0))
         class_id = F.when(first.rlike(r"^[+-]?[0-9]+(_[0-9]+)*$"), F.regexp_replace(first, "_", "").try_cast("long"))
-        values = F.transform(F.slice(fields, F.lit(2), F.greatest(F.size(fields), F.lit(1))), number)
-        four = [F.get(values, F.lit(k)) for k in range(4)]
-        return let(F.struct(F.size(fields).alias("n"), class_id.alias("c"), values.alias("values"), box_errors(*four).alias("errors")), judged)
+        numbers = F.transform(F.slice(fields, F.lit(2), F.greatest(F.size(fields), F.lit(1))), number)
+        row = lambda values: F.struct(F.size(fields).alias("n"), class_id.alias("c"), values.alias("values"), box_errors(*[F.get(values, F.lit(k)) for k in range(4)]).alias("errors"))
+        return let(let(numbers, row), judged)
 
     def judged(r: Column) -> Column:
         n, class_id, values, errors = r["n"], r["c"], r["values"], r["errors"]

@@ -13,12 +13,13 @@ from pyspark.sql.window import Window
 
 from curata.operators.graph import connected_components
 from curata.operators.relational import hamming_join, hamming_links
+from curata.storage import materialize
 
 SPLITS = ("train", "val", "test")
 #: Members of a group that one digest covers; a larger group has a digest of digests.
 DIGEST_MEMBERS = 1000
 #: Groups that are assigned together in one task.
-BLOCK_GROUPS = 20_000
+BLOCK_GROUPS = 2_000
 #: What a squared deviation weighs; other counts weigh 1, other shares 2.
 WEIGHTS = {"images": 18.0, "masks": 8.0, "border_images": 2.0, "multi_instance_images": 3.0}
 SOURCE_WEIGHT, AREA_WEIGHT, SHARE_WEIGHT = 12.0, 4.0, 2.0
@@ -158,6 +159,7 @@ def assign_splits(features: DataFrame, group: str, ratios: Sequence[float] = (0.
     """
     if len(ratios) != len(SPLITS) or abs(sum(ratios) - 1) > 1e-9:
         raise ValueError("ratios must be three and sum to 1")
+    features = materialize(features, "features")
     blocks = max(1, -(-features.select(group).distinct().count() // block))
 
     def place(pdf: pd.DataFrame) -> pd.DataFrame:

@@ -9,6 +9,7 @@ from curata.operators import relational as rel
 from curata.operators import splitting as sp
 from curata.plans import catalog
 from curata.plans.registry import query, table
+from curata.storage import materialize
 
 RECORDS_SQL = f"""
 SELECT doc_id, source, lang, n_chars, sha256(coalesce(text, '')) AS sha, lower(left(trim(coalesce(text, '')), 12)) AS base, CASE WHEN doc_id % 4 = 0 THEN source || ':' || n_chars ELSE '' END AS variant, bits,
@@ -38,7 +39,7 @@ def _records(spark, sf_dir):
 
 
 def _grouped(spark, sf_dir):
-    records = _records(spark, sf_dir)
+    records = materialize(_records(spark, sf_dir), "records")  # texts are read and hashed once
     return records.join(sp.related(records, "doc_id", [["sha"], ["variant"], ["source", "base"]], "bits", 4), "doc_id")
 
 
