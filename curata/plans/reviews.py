@@ -166,7 +166,8 @@ def region_errors(spark, sf_dir):
     cells = {f: F.col(f"m.{f}") for f in ("annotation_status", *[f"roi_{k}" for k in ("x1", "y1", "x2", "y2", "width", "height", "area_ratio")])}
     cells["roi_width"] = F.when(F.col("id") % 6 == 0, 7).otherwise(cells["roi_width"])
     cells["roi_height"] = F.when(F.col("id") % 7 != 0, cells["roi_height"])
-    return rows.select("id", F.array_join(regions.cell_errors(cells, F.col("w"), F.col("h"), 0.1), ";").alias("errors"))
+    found = regions.cell_errors(cells, F.col("w"), F.col("h"), 0.1)  # missing cells before inconsistent ones; the SQL has them by name
+    return rows.select("id", F.array_join(F.array_sort(found), ";").alias("errors"))
 
 
 @query(
