@@ -1,8 +1,14 @@
 """Queries against their SQL on small tables of their own, with what the test data holds too rarely."""
 
+import random
+
 import duckdb
 import pandas as pd
+import pytest
+from pyspark.sql import functions as F
 
+from curata.functions import hashing
+from curata.operators import relational as rel
 from curata.plans import catalog
 
 
@@ -25,3 +31,67 @@ def test_region_errors_with_a_wrong_and_a_missing_cell(spark, tmp_path):
     found, wanted = both(spark, tmp_path, "region_errors", part=part, lineitem=said)
     assert found == wanted
     assert dict(found) == {42: "inconsistent_width;roi_height", 43: "", 48: "inconsistent_width", 49: "roi_height", 84: "cells_not_blank;pending"}
+
+
+def test_slices_of_a_hamming_join_are_even(spark):
+    """Values whose upper and lower bits are constant: slices of neighbouring bits would bring all of them together."""
+    rng = random.Random(5)
+    values = [rng.getrandbits(24) << 20 for _ in range(3000)]
+    df = spark.createDataFrame([(v,) for v in set(values)], "x long")
+    masks, varying = rel._masks(df, "x", 3, 64)
+    assert sorted(varying) == list(range(20, 44))
+    assert [sum(m >> i & 1 for i in varying) for m in masks] == [8, 8, 8]
+    assert sum(masks) == (1 << 64) - 1
+
+
+@pytest.mark.parametrize("most", [0, 1, 2, 3, 4, 5, 8])
+def test_hamming_joins_match_a_nested_loop(spark, most):
+    rng = random.Random(most)
+    seeds = [rng.getrandbits(64) - (1 << 63) for _ in range(8)] + [0, -1, -(1 << 63), 1]
+    values = [v ^ sum(1 << b for b in rng.sample(range(63), rng.randrange(7))) ^ (-(1 << 63) if rng.random() < 0.2 else 0) for v in seeds for _ in range(6)] + seeds + [None, None, 0, 0]
+    mask = (1 << 64) - 1
+    known = [(k, v) for k, v in enumerate(values) if v is not None]
+    wanted = {(a, b, d) for a, v in known for b, w in known if (d := ((v ^ w) & mask).bit_count()) <= most}
+    df = spark.createDataFrame(list(enumerate(values)), "k long, v long")
+    rows = lambda f: sorted(map(tuple, f.collect()))
+    assert rows(rel.hamming_pairs(df, "k", "v", most)) == sorted(t for t in wanted if t[0] < t[1])
+    left, right = df.where("k % 3 > 0"), df.where("k % 4 < 3")
+    assert rows(rel.hamming_join(left, right, "k", "v", most)) == sorted(t for t in wanted if t[0] % 3 and t[1] % 4 < 3)
+
+
+def test_letter_parity_in_pieces(spark, monkeypatch):
+    monkeypatch.setattr(hashing, "PARITY_BYTES", 5)
+    texts = ["", None, "abca", "zz;", "Ä€a😀;", "", "a" * 23, "\x00 09:{|", None, "z" * 3]
+    odd = lambda t: sum(1 << i for i in range(64) if (t or "").count(chr(59 + i)) % 2)
+    wanted = [odd(t) - (1 << 64) * (odd(t) >> 63) for t in texts]
+    df = spark.createDataFrame(list(enumerate(texts)), "k int, t string").coalesce(1)
+    assert [r.bits for r in df.select("k", hashing.letter_parity(F.col("t"), 59).alias("bits")).orderBy("k").collect()] == wanted
+    assert df.where("k < 0").select(hashing.letter_parity(F.col("t"), 59)).count() == 0
+
+
+def repeated(n):
+    """Documents that share most letters: copies, near ones, null and empty texts."""
+    rng = random.Random(n)
+    words = ["leaf", "stem", "Root", "Tree", "seed", "Bark", "moss", "fern"]
+    texts = [" ".join(rng.choices(words, k=9)) for _ in range(n)]
+    texts = [None if k % 29 == 3 else "" if k % 31 == 4 else texts[k // 2] if k % 7 == 1 else t for k, t in enumerate(texts)]
+    return pd.DataFrame({"doc_id": range(n), "text": texts, "lang": "en", "source": [f"s{k % 3}" for k in range(n)], "n_chars": [len(t or "") for t in texts]})
+
+
+@pytest.mark.parametrize("name", ["hamming_pairs", "leakage_pairs", "pilot_leakage"])
+def test_near_texts_with_few_letters(spark, tmp_path, name):
+    found, wanted = both(spark, tmp_path, name, documents=repeated(300))
+    assert found == wanted and len(found) > 300
+
+
+@pytest.mark.parametrize("name", ["split_groups", "split_group_ids", "split_group_features"])
+def test_groups_of_few_texts(spark, tmp_path, name):
+    found, wanted = both(spark, tmp_path, name, documents=repeated(60))
+    assert found == wanted
+
+
+@pytest.mark.parametrize("name", ["hamming_pairs"])
+def test_texts_are_hashed_once(spark, tmp_path, name):
+    repeated(40).to_parquet(tmp_path / "documents.parquet", index=False)
+    df = catalog.QUERIES[name](spark, str(tmp_path))
+    assert not any("documents.parquet" in f for f in df.inputFiles())  # neither side of the join reads them again
