@@ -1,6 +1,7 @@
 """Queries against their SQL on small tables of their own, with what the test data holds too rarely."""
 
 import random
+import re
 
 import duckdb
 import pandas as pd
@@ -9,6 +10,7 @@ from pyspark.sql import functions as F
 
 from curata.functions import hashing
 from curata.operators import relational as rel
+from curata.operators import splitting as sp
 from curata.plans import catalog
 
 
@@ -90,8 +92,17 @@ def test_groups_of_few_texts(spark, tmp_path, name):
     assert found == wanted
 
 
-@pytest.mark.parametrize("name", ["hamming_pairs"])
+@pytest.mark.parametrize("name", ["hamming_pairs", "leakage_pairs"])
 def test_texts_are_hashed_once(spark, tmp_path, name):
     repeated(40).to_parquet(tmp_path / "documents.parquet", index=False)
     df = catalog.QUERIES[name](spark, str(tmp_path))
     assert not any("documents.parquet" in f for f in df.inputFiles())  # neither side of the join reads them again
+
+
+def test_near_pairs_carry_their_splits(spark):
+    """The splits come with the pairs; joined to them afterwards they would move every pair twice more."""
+    rows = spark.createDataFrame([(1, 7, "train"), (2, 6, "val"), (3, 7, "train"), (4, None, "val"), (5, 7, None)], "k long, v long, split string")
+    df = sp.crossing_pairs(rows, "k", "v", 4)
+    assert sorted(map(tuple, df.collect())) == [(1, 2, "train|val", 1), (2, 3, "val|train", 1)]
+    joins = re.findall(r"Join Inner", df._jdf.queryExecution().optimizedPlan().toString())
+    assert len(joins) == 3  # slices, keys of one side, keys of the other
