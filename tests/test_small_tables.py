@@ -11,7 +11,7 @@ from pyspark.sql import functions as F
 from curata.functions import hashing
 from curata.operators import relational as rel
 from curata.operators import splitting as sp
-from curata.plans import catalog
+from curata.plans import catalog, splits
 
 
 def both(spark, folder, name, **tables):
@@ -106,3 +106,10 @@ def test_near_pairs_carry_their_splits(spark):
     assert sorted(map(tuple, df.collect())) == [(1, 2, "train|val", 1), (2, 3, "val|train", 1)]
     joins = re.findall(r"Join Inner", df._jdf.queryExecution().optimizedPlan().toString())
     assert len(joins) == 3  # slices, keys of one side, keys of the other
+
+
+def test_records_of_splits_take_one_pass_for_all_letters(spark, tmp_path):
+    """All of split_groups, split_group_ids, split_group_features and split_assignment start from these records."""
+    repeated(40).to_parquet(tmp_path / "documents.parquet", index=False)
+    plan = splits._records(spark, str(tmp_path))._jdf.queryExecution().optimizedPlan().toString()
+    assert "replace(" not in plan and plan.count("ArrowEvalPython") == 1
