@@ -1,5 +1,6 @@
 """Queries against their SQL on small tables of their own, with what the test data holds too rarely."""
 
+import hashlib
 import random
 import re
 
@@ -113,3 +114,12 @@ def test_records_of_splits_take_one_pass_for_all_letters(spark, tmp_path):
     repeated(40).to_parquet(tmp_path / "documents.parquet", index=False)
     plan = splits._records(spark, str(tmp_path))._jdf.queryExecution().optimizedPlan().toString()
     assert "replace(" not in plan and plan.count("ArrowEvalPython") == 1
+
+
+def test_ids_of_large_groups(spark):
+    """An id is the digest of all members' digests in order, for 1500 members as for one."""
+    rows = [(1, k, f"d{k * 7919 % 1500}") for k in range(1500)] + [(1500, 1501, "x"), (2, 2, "b"), (2, 3, None), (2, 4, "a")]
+    random.Random(1).shuffle(rows)
+    found = sp.group_ids(spark.createDataFrame(rows, "root long, k long, d string").repartition(7), "root", "k", "d").collect()
+    name = lambda *d: "grp_" + hashlib.sha256("\n".join(d).encode()).hexdigest()[:16]
+    assert sorted(map(tuple, found)) == [(1, name(*[f"d{k * 7919 % 1500}" for k in range(1500)]), 1500), (2, name("b", "a"), 3), (1500, name("x"), 1)]
