@@ -5,11 +5,14 @@ import random
 import re
 
 import duckdb
+import numpy as np
 import pandas as pd
+import pyarrow as pa
 import pytest
 from pyspark.sql import functions as F
 
 from curata.functions import hashing
+from curata.operators import graph
 from curata.operators import relational as rel
 from curata.operators import splitting as sp
 from curata.plans import catalog, splits
@@ -123,3 +126,82 @@ def test_ids_of_large_groups(spark):
     found = sp.group_ids(spark.createDataFrame(rows, "root long, k long, d string").repartition(7), "root", "k", "d").collect()
     name = lambda *d: "grp_" + hashlib.sha256("\n".join(d).encode()).hexdigest()[:16]
     assert sorted(map(tuple, found)) == [(1, name(*[f"d{k * 7919 % 1500}" for k in range(1500)]), 1500), (2, name("b", "a"), 3), (1500, name("x"), 1)]
+
+
+def smallest(edges):
+    """The smallest node of its component of every node, by plain union."""
+    low = {}
+
+    def root(x):
+        while low.setdefault(x, x) != x:
+            x = low[x]
+        return x
+
+    for a, b in edges:
+        a, b = root(a), root(b)
+        low[max(a, b)] = min(a, b)
+    return {x: root(x) for x in low}
+
+
+@pytest.mark.parametrize("parts", [1, 3, 64])
+def test_contraction_finds_the_components(spark, monkeypatch, parts):
+    """Chains, stars and chance links; with 64 partitions that stay apart star passes must end what contraction begins."""
+    rng = random.Random(parts)
+    edges = [(k, k + 1) for k in range(300)] + [(1000, k) for k in range(1001, 1200)] + [(rng.randrange(2000, 2600), rng.randrange(2000, 2600)) for _ in range(400)]
+    edges += [(-9, 5000), (5000, 1 << 40), (1 << 40, 5001)]
+    rng.shuffle(edges)
+    passes = []
+    monkeypatch.setattr(graph, "materialize", lambda df, label: passes.append(label) or df.sparkSession.createDataFrame(df.collect(), df.schema))
+    old = {k: spark.conf.get(k) for k in ("spark.sql.adaptive.coalescePartitions.enabled", "spark.sql.shuffle.partitions")}
+    if parts == 64:
+        spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", "false")
+        spark.conf.set("spark.sql.shuffle.partitions", "16")
+    try:
+        rows = [*edges, (7, 7), (8000, 8000), (None, 3)]
+        found = graph.contracted_components(spark.createDataFrame(rows, "src long, dst long").repartition(parts)).collect()
+    finally:
+        for k, v in old.items():
+            spark.conf.set(k, v)
+    links = [e for e in edges if e[0] != e[1]]
+    assert dict(map(tuple, found)) == smallest(links) and len(found) == len(smallest(links))
+    assert parts == 64 or len(passes) <= 3  # star passes alone write this graph more than ten times
+
+
+def test_a_task_folds_its_edges_in_pieces(monkeypatch):
+    rng = np.random.default_rng(4)
+    u, v = rng.integers(0, 500, (2, 700))
+    u, v = np.maximum(u, v) + 1, np.minimum(u, v)
+    for most in (1 << 20, 64):
+        monkeypatch.setattr(graph, "FOLD_EDGES", most)
+        batches = [pa.RecordBatch.from_arrays([pa.array(u[k : k + 50]), pa.array(v[k : k + 50])], names=["u", "v"]) for k in range(0, 700, 50)]
+        out = list(graph._forest(iter(batches)))
+        pairs = [p for b in out for p in zip(b.column(0).to_pylist(), b.column(1).to_pylist())]
+        assert smallest(pairs) == smallest(zip(u.tolist(), v.tolist()))
+        assert (len(out) > 1) == (most == 64)
+    assert [b.num_rows for b in graph._forest(iter([]))] == [0]
+
+
+def test_groups_take_few_passes_and_joins(spark, tmp_path, monkeypatch):
+    """Star passes wrote every link twice a round, and the ends of near values were joined to them again."""
+    repeated(120).to_parquet(tmp_path / "documents.parquet", index=False)
+    labels, plans = [], []
+
+    def kept(df, label, **options):
+        labels.append(label)
+        plans.append(df._jdf.queryExecution().optimizedPlan().toString())
+        return real(df, label, **options)
+
+    real = graph.materialize
+    for module in (graph, rel, splits):
+        monkeypatch.setattr(module, "materialize", kept)
+    assert catalog.QUERIES["split_groups"](spark, str(tmp_path)).count() == 120
+    assert labels.count("hashes") == 1 and labels.count("cc") <= 3
+    assert plans[labels.index("cc")].count("Join Inner") == 5  # three signals, equal hashes, slices
+
+
+def test_one_slice_is_compared_as_it_is(spark):
+    """Of three slices with four differences, none equal, two differ in one bit: the last needs no probing and fewer bits."""
+    rng = random.Random(6)
+    df = spark.createDataFrame([(v,) for v in {rng.getrandbits(36) for _ in range(2000)}], "x long")
+    masks, varying = rel._masks(df, "x", 3, 64, True)
+    assert [sum(m >> i & 1 for i in varying) for m in masks] == [13, 13, 10] and sum(masks) == (1 << 64) - 1
