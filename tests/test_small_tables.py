@@ -205,3 +205,48 @@ def test_one_slice_is_compared_as_it_is(spark):
     df = spark.createDataFrame([(v,) for v in {rng.getrandbits(36) for _ in range(2000)}], "x long")
     masks, varying = rel._masks(df, "x", 3, 64, True)
     assert [sum(m >> i & 1 for i in varying) for m in masks] == [13, 13, 10] and sum(masks) == (1 << 64) - 1
+
+
+def plain_swap(a, rounds=6):
+    """Every group against every partner, in the order that ``Assignment.swap`` keeps; also the number of comparisons."""
+    tried = 0
+    order = sorted(range(len(a.ids)), key=lambda k: a.ids[k])
+    for _ in range(rounds):
+        improved = False
+        for s, t in ((0, 1), (0, 2), (1, 2)):
+            firsts, seconds = ([k for k in order if a.split[k] == x] for x in (s, t))
+            for k in firsts:
+                others = [j for j in seconds if a.split[j] == t and a.images[j] == a.images[k]]
+                if not others:
+                    continue
+                moved = a.counts[others] - a.counts[k]
+                cost = a.cost(s, a.state[s] + moved) + a.cost(t, a.state[t] - moved)
+                tried += len(others)
+                at = int(cost.argmin())
+                if cost[at] + 1e-12 < a.cost(s, a.state[s]) + a.cost(t, a.state[t]):
+                    a.state[s], a.state[t] = a.state[s] + moved[at], a.state[t] - moved[at]
+                    a.split[k], a.split[others[at]] = t, s
+                    a.swapped[[k, others[at]]] = True
+                    improved = True
+        if not improved:
+            break
+    return tried
+
+
+@pytest.mark.parametrize("seed", range(4))
+def test_swaps_try_equal_groups_once(seed):
+    """Same splits as the plain exchange, with far fewer comparisons."""
+    rng = np.random.default_rng(seed)
+    counts = np.column_stack([rng.integers(1, 3, 300), *rng.integers(0, 2, (5, 300))])
+    make = lambda: sp.Assignment([f"g{k * 7919 % 1000:03d}" for k in range(300)], ["images", "masks", "border_images", "source:a", "source:b", "area:small"], counts, (0.7, 0.15, 0.15), seed)
+    plain, quick = make(), make()
+    for a in (plain, quick):  # a start that leaves much to exchange
+        a.split = np.repeat([0, 1, 2], [210, 45, 45])
+        a.state = np.array([a.counts[a.split == s].sum(0) for s in range(3)])
+    wanted = plain_swap(plain)
+    tried, cost = [], quick.cost
+    quick.cost = lambda s, states: tried.append(len(states) if states.ndim > 1 else 0) or cost(s, states)
+    quick.swap()
+    assert plain.swapped.any()
+    assert (quick.split == plain.split).all() and (quick.swapped == plain.swapped).all() and (quick.state == plain.state).all()
+    assert sum(tried) / 2 < 0.6 * wanted
