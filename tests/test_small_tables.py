@@ -207,6 +207,15 @@ def test_one_slice_is_compared_as_it_is(spark):
     assert [sum(m >> i & 1 for i in varying) for m in masks] == [13, 13, 10] and sum(masks) == (1 << 64) - 1
 
 
+def test_features_read_groups_with_one_join(spark, tmp_path):
+    """The records' columns come through the join that gives the groups; a join back to the records took another shuffle."""
+    repeated(40).to_parquet(tmp_path / "documents.parquet", index=False)
+    rows = splits._grouped(spark, str(tmp_path))
+    assert {"source", "lang", "n_chars", "sha", "group_root"} <= set(rows.columns) and rows.count() == 40
+    plan = catalog.QUERIES["split_group_features"](spark, str(tmp_path))._jdf.queryExecution().optimizedPlan().toString()
+    assert "Join Inner" not in plan
+
+
 def plain_swap(a, rounds=6):
     """Every group against every partner, in the order that ``Assignment.swap`` keeps; also the number of comparisons."""
     tried = 0
